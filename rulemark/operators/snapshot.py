@@ -18,19 +18,24 @@ def latest_per_key(
     columns: list[str],
     date: str | None = None,
     tiebreak: tuple[str, ...] = (),
+    count_as: str | None = None,
 ) -> DataFrame:
     """``key, columns`` of the row with the greatest ``date`` per key.
 
     Of rows with the same date the one smallest in ``tiebreak`` is taken, so with
     the load order as tie-break the first loaded; without any date in a key the
     last loaded. Rows equal in that too are told apart by their content.
-    Without ``date`` the row smallest in ``tiebreak`` is taken.
+    Without ``date`` the row smallest in ``tiebreak`` is taken. ``count_as`` adds
+    the number of rows of the key.
     """
     columns = [c for c in columns if c != key]
     rows = df.filter(F.col(key).isNotNull())
     backwards = [_reversed(rows, c) for c in tiebreak]
     if any(b is None for b in backwards):
-        return _latest_by_window(rows, key, columns, date, tiebreak)
+        latest = _latest_by_window(rows, key, columns, date, tiebreak)
+        if count_as is None:
+            return latest
+        return latest.join(rows.groupBy(key).agg(F.count("*").alias(count_as)), key)
     content = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
     order = list(backwards)
     if date is not None:
@@ -39,9 +44,13 @@ def latest_per_key(
             F.when(undated, -b).otherwise(b) for b in backwards
         ]
     # one partial aggregate per task: a hot key leaves each task as one row
-    best = F.max(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *content)).alias("_best")
-    found = rows.groupBy(key).agg(best) if order or content else rows.select(key).distinct()
-    return found.select(key, *[F.col(f"_best.c{i}").alias(c) for i, c in enumerate(columns)])
+    fields = [*[o.alias(f"o{i}") for i, o in enumerate(order)], *content, F.lit(0).alias("last")]
+    aggregates = [F.max(F.struct(*fields)).alias("_best")]
+    if count_as is not None:
+        aggregates.append(F.count("*").alias(count_as))
+    found = rows.groupBy(key).agg(*aggregates)
+    best = [F.col(f"_best.c{i}").alias(c) for i, c in enumerate(columns)]
+    return found.select(key, *best, *([count_as] if count_as else []))
 
 
 def _reversed(df: DataFrame, column: str) -> Column | None:

@@ -1,0 +1,138 @@
+import random
+
+import pytest
+
+from interpreter import hits, labels
+from rulemark.operators.actions import apply_actions, resolve
+from rulemark.operators.compiled import compile_rules
+from rulemark.operators.matching import match_rules, with_payload
+from rulemark.options import LabelOptions
+from pyspark.sql import functions as F
+
+COLUMNS = ["a", "b", "c"]
+RULE_SCHEMA = "n int, action string, match string, search string, note string, term string, x string, y string"
+WORDS = ["ozon", "Market", "COCA", "cola", "é", "ÜBER", "канал", "КАНАЛ", "Ёлка", "a_b", "100%", "x", "no", "straße", "C:\\dir", "naïve"]
+GLUE = [" ", " ", " ", "-", ", ", "\n", ""]
+
+
+def text(rng, most=6):
+    out = ""
+    for _ in range(rng.randint(0, most)):
+        out += rng.choice(WORDS) + rng.choice(GLUE)
+    return out
+
+
+def make_table(rng, n):
+    return {i: [rng.choice([None, text(rng), text(rng).upper()]) for _ in COLUMNS] for i in range(n)}
+
+
+def like_term(rng):
+    kind = rng.random()
+    if kind < 0.4:
+        return rng.choice(WORDS)
+    if kind < 0.5:
+        return rng.choice(WORDS)[:2]
+    if kind < 0.6:
+        return rng.choice(["%", "_", "", "__", "o%n", "O_O", "%C%", "\\", "а_ал"])
+    return text(rng, 3)
+
+
+def fts_term(rng):
+    word = lambda: rng.choice(["ozon", "market", "COCA", "cola", "é", "uber", "канал", "ёлка", "a_b", "x", "no", "strasse", "straße", "naive", "dir"])
+    form = rng.randint(0, 9)
+    w = [word() for _ in range(4)]
+    return [
+        text(rng, 3),
+        w[0],
+        f"{w[0]} {w[1]}",
+        f"({w[0]} OR {w[1]})",
+        f"({w[0]} {w[1]})",
+        f"({w[0]} AND {w[1]} {w[2]})",
+        f"({w[0]} NOT {w[1]})",
+        f"({w[0][:2]}*)",
+        f"(^{w[0]} {w[1]})",
+        rng.choice([f"NEAR({w[0]} {w[1]}, {rng.randint(0, 3)})", f"NEAR({w[0]} {w[1]} {w[2]})", f"({w[0]}+{w[1]})"]),
+    ][form]
+
+
+def make_rules(rng, n, columns=COLUMNS):
+    rules = []
+    for i in range(1, n + 1):
+        match = rng.choice(["f", "p", "s", "e", "fts", "fts", "z", None])
+        search, term = str(rng.randint(0, 3)), like_term(rng)
+        if match == "fts":
+            search, term = str(rng.randint(0, 2)), fts_term(rng)
+            if "(" not in term and rng.random() < 0.4:
+                search, term = f"{search}|{rng.randint(0, 2)}", f"{term}|{text(rng, 2)}"
+        payload = [rng.choice([None, None, "", "B", "a", "Z", "é"]) for _ in range(2)]
+        rules.append((i, rng.choice("aaarrrd?"), match, search, None, term, *payload))
+    return rules
+
+
+def plain(rules):
+    return [(r[0], r[1], r[2], r[3], r[5], *r[6:]) for r in rules]
+
+
+def setup(spark, table, rules, **options):
+    data = spark.createDataFrame([(k, *v) for k, v in table.items()], "id int, a string, b string, c string")
+    raw = spark.createDataFrame(rules, RULE_SCHEMA)
+    return data, compile_rules(raw, COLUMNS, ["n"], LabelOptions(**options))
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"probe_limit": 0}, {"broadcast_bytes": 0, "probe_limit": 0, "salts": 3}, {"dedupe_values": True, "hot_id_rows": 5}],
+    ids=["probe", "generate", "shuffle", "dedupe"],
+)
+def test_random_dictionaries(spark, seed, options):
+    rng = random.Random(seed)
+    table, rules = make_table(rng, 60), make_rules(rng, 60)
+    data, compiled = setup(spark, table, rules, **options)
+    found = match_rules(data, "id", compiled)
+    got = {tuple(r) for r in found.collect()}
+    expected = hits(table, COLUMNS, plain(rules))
+    named = {r[0]: r for r in rules}
+    assert not {(k, named[k[1]][2:6], table[k[0]]) for k in got ^ expected}
+    assert len(expected) > 20
+
+    paid = with_payload(found, compiled)
+    kept = compiled.label_columns
+    at = [["x", "y"].index(c) for c in kept]
+    for mode in ("tags", "append"):
+        want = labels(expected, plain(rules), 2, add_mode=mode)
+        fused = resolve(paid, kept, add_mode=mode, actions=compiled.actions)
+        got = {r["id"]: None if r["is_deleted"] else [r[c] for c in kept] for r in fused.collect()}
+        assert got == {k: None if v is None else [v[i] for i in at] for k, v in want.items()}
+        if seed == 0:
+            empty = data.select("id", *[F.lit(None).cast("string").alias(c) for c in kept])
+            stepwise = apply_actions(empty, "id", paid, kept, add_mode=mode)
+            got = {r["id"]: [r[c] for c in kept] for r in stepwise.collect()}
+            blank = {k: [None] * 2 for k in table}
+            assert got == {k: [v[i] for i in at] for k, v in {**blank, **want}.items() if v is not None}
+
+
+def test_unicode_case(spark):
+    table = {1: ["первый канал", None, None], 2: ["ПЕРВЫЙ КАНАЛ", None, None], 3: ["coca-cola", None, None]}
+    rules = [(1, "r", "p", "0", None, "канал", "T", None), (2, "r", "s", "0", None, "Coca", "U", None)]
+    for case, expected in (("ascii", {(2, 1), (3, 2)}), ("unicode", {(1, 1), (2, 1), (3, 2)})):
+        data, compiled = setup(spark, table, rules, case=case)
+        assert {tuple(r) for r in match_rules(data, "id", compiled).collect()} == expected
+
+
+def test_large_dictionary_is_not_probed(spark):
+    rng = random.Random(9)
+    table = {i: [f"item {rng.randint(0, 400)} of {rng.randint(0, 400)}", None, None] for i in range(300)}
+    rules = [(i, "a", rng.choice("pes"), "0", None, str(i), f"t{i}", None) for i in range(1, 300)]
+    data, compiled = setup(spark, table, rules)
+    assert compiled.key_classes["a"]["g3"] is None and len(compiled.key_classes["a"]["g1"]) < 10
+    got = {tuple(r) for r in match_rules(data, "id", compiled).collect()}
+    assert got == hits(table, COLUMNS, plain(rules))
+
+
+def test_plan_has_one_exchange_and_no_nested_loop(spark):
+    rng = random.Random(1)
+    data, compiled = setup(spark, make_table(rng, 20), make_rules(rng, 40))
+    plan = match_rules(data.repartition(8, "id"), "id", compiled)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # the given one by id
