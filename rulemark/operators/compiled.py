@@ -109,8 +109,8 @@ def compile_rules(
 
 
 def local_copy(df: DataFrame) -> DataFrame:
-    """The same rows as a local table; only for data measured to be small."""
-    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+    """The same rows as a local table in one partition; only for data measured to be small."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema).coalesce(1)
 
 
 def _measure(keyed: DataFrame, probe_limit: int):

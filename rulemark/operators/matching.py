@@ -61,25 +61,25 @@ def _keys_of(rules: CompiledRules) -> Column:
 
 
 def _near(items: Column, padded: Column, distance: Column) -> Column:
-    """Do all items occur with at most ``distance`` tokens between first and last?"""
+    """Do all items occur with at most ``distance`` tokens between first and last?
+
+    True if there is a place such that every item of n tokens starts there or at
+    most n + distance tokens before, that is lies in the words around it.
+    """
     words = F.split(F.trim(F.ltrim(padded, F.lit(text.START))), " ")
-    length = lambda item: F.size(F.split(F.trim(item), " "))
-
-    def starts(item: Column) -> Column:
-        def here(at: Column) -> Column:
-            run = F.array_join(F.slice(words, at, length(item)), " ")
-            return F.concat(F.lit(" "), run, F.lit(" ")).startswith(item)
-
-        return F.filter(F.sequence(F.lit(1), F.size(words)), here)
-
-    spots = F.transform(items, lambda i: F.struct(length(i).alias("n"), starts(i).alias("at")))
-    return F.exists(
-        F.flatten(F.transform(spots, lambda s: s["at"])),
-        lambda last: F.forall(
-            spots,
-            lambda s: F.exists(s["at"], lambda p: (p <= last) & (p >= last - s["n"] - distance)),
-        ),
-    )
+
+    def around(words: Column, place: Column, item: Column) -> Column:
+        n = F.size(F.split(F.trim(item), " "))
+        first = F.greatest(F.lit(1), place - n - distance)
+        run = F.array_join(F.slice(words, first, place + n - first), " ")
+        return F.contains(F.concat(F.lit(" "), run, F.lit(" ")), item)
+
+    def holds(words: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(words))
+        return F.exists(places, lambda p: F.forall(items, lambda item: around(words, p, item)))
+
+    # the one-element array binds the words, so that they are split once per pair
+    return F.exists(F.array(words), holds)
 
 
 def pair_matches(rules: CompiledRules) -> Column:
