@@ -16,6 +16,7 @@ from query_suite.base import (
 )
 from rulemark.operators.compiled import compile_rules
 from rulemark.operators.matching import match_rules, union_hits, with_payload
+from rulemark.operators.skew import spread
 from rulemark.options import LabelOptions
 
 PART = ["p_name", "p_brand", "p_type"]
@@ -24,7 +25,7 @@ LABEL = ["tag"]
 
 def _hits(spark, sf, rules, source, key, columns, **options):
     c = compiled(spark, rules, LABEL, columns, **options)
-    return match_rules(table(spark, sf, source), key, c)
+    return match_rules(spread(table(spark, sf, source), key), key, c)
 
 
 def _sql(rules, source, key, columns):

@@ -8,13 +8,18 @@ from query_suite.base import compiled, literal, padded_sql, query, rule, table,
 from rulemark.functions import text
 from rulemark.operators.compiled import compile_rules
 from rulemark.operators.matching import match_rules
+from rulemark.operators.skew import spread
 
 DOCUMENTS = f"d AS (SELECT doc_id AS id, {padded_sql('text')} AS t FROM documents)"
 
 
+def documents(spark, sf):
+    return spread(table(spark, sf, "documents"), "doc_id")
+
+
 @query(f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t) AS n FROM (SELECT doc_id, {tokens_sql('text')} AS t FROM documents)")
 def fts_tokens(spark, sf):
-    words = table(spark, sf, "documents").select("doc_id", text.tokens(F.col("text")).alias("t"))
+    words = documents(spark, sf).select("doc_id", text.tokens(F.col("text")).alias("t"))
     return words.select("doc_id", F.array_join("t", " ").alias("tokens"), F.size("t").cast("bigint").alias("n"))
 
 
@@ -24,7 +29,7 @@ def _register(name, forms):
     parts = [f"SELECT id, CAST({i} AS INT) AS rule_id FROM d WHERE {test}" for i, (_, test) in enumerate(forms, 1)]
 
     def run(spark, sf):
-        return match_rules(table(spark, sf, "documents"), "doc_id", compiled(spark, rules, ["tag"], ["text"]))
+        return match_rules(documents(spark, sf), "doc_id", compiled(spark, rules, ["tag"], ["text"]))
 
     query(f"WITH {DOCUMENTS} " + " UNION ALL ".join(parts), name)(run)
 
@@ -56,7 +61,7 @@ NEAR = [("the", "from", 1), ("license", "apache", 0), ("version", "licensed", 3)
 )
 def fts_near(spark, sf):
     rules = [rule(i, "a", "fts", 0, f"NEAR({a} {b}, {n})", "x") for i, (a, b, n) in enumerate(NEAR, 1)]
-    return match_rules(table(spark, sf, "documents"), "doc_id", compiled(spark, rules, ["tag"], ["text"]))
+    return match_rules(documents(spark, sf), "doc_id", compiled(spark, rules, ["tag"], ["text"]))
 
 
 @query(
@@ -84,4 +89,4 @@ def fts_passages(spark, sf):
         F.lit("").alias("note"), F.regexp_replace("text", r"[|(]", " ").alias("term"), F.lit("seen").alias("tag"),
     )
     rules = compile_rules(passages, ["text"], ["item_id"])
-    return match_rules(table(spark, sf, "documents"), "doc_id", rules)
+    return match_rules(documents(spark, sf), "doc_id", rules)

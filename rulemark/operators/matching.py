@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rulemark.functions import text
 from rulemark.operators import keys
 from rulemark.operators.compiled import CompiledRules
-from rulemark.operators.skew import hot_keys, join_per_key, join_small
+from rulemark.operators.skew import adaptive_split, hot_keys, join_per_key, join_small
 
 TEXT_CLASSES = ("t", "x")
 
@@ -129,13 +129,14 @@ def match_clauses(values: DataFrame, rules: CompiledRules) -> DataFrame:
 
 
 def match_rules(snapshot: DataFrame, id_column: str, rules: CompiledRules) -> DataFrame:
-    """``hits(id, rule_id)``: every rule each snapshot row matches, once."""
+    """``hits(id, rule_id)``: every rule each row of a snapshot (one row per id) matches."""
     if rules.options.dedupe_values:
         clauses = _match_distinct(snapshot, id_column, rules)
     else:
         clauses = match_clauses(values_by_column(snapshot, id_column, rules), rules)
     if rules.single_clause:
-        return clauses.select("id", "rule_id").distinct()
+        # such a rule has one key, and the keys of a value differ: each pair comes up once
+        return clauses.select("id", "rule_id")
     return (
         clauses.groupBy("id", "rule_id")
         .agg(F.count_distinct("clause_no").alias("n"), F.max("n_clauses").alias("n_clauses"))
@@ -168,8 +169,9 @@ def _match_distinct(snapshot: DataFrame, id_column: str, rules: CompiledRules) -
         F.collect_list(F.struct("rule_id", "clause_no", "n_clauses")).alias("found")
     )
     per_value = per_value.select("id.name", "id.value", "found")
-    split = rules.options.hot_id_rows
-    hot = hot_keys(tall, ["name", "value"], split) if split else None
+    hot = None
+    if rules.options.hot_id_rows and not adaptive_split(tall):
+        hot = hot_keys(tall, ["name", "value"], rules.options.hot_id_rows)
     joined = join_per_key(tall, per_value, ["name", "value"], "inner", hot)
     return joined.select("id", F.inline("found"))
 

@@ -106,7 +106,8 @@ def column_at(index: Column, columns: list[str]) -> Column:
 
 def resolve_columns(rules: DataFrame, columns: list[str], on_bad_rule: str = "fail") -> DataFrame:
     """Add ``column_name``. A search index that is no number fails the job or gives NULL."""
-    search = F.col("search")
+    # filters may be evaluated after this, so text rules are kept from the cast here
+    search = F.when(F.col("match") != TEXT, F.col("search"))
     index = search.cast("bigint") if on_bad_rule == "fail" else search.try_cast("bigint")
     return rules.withColumn("column_name", column_at(index, columns))
 

@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan with fewer tasks than cores; a wide scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def join_small(
     rows: DataFrame, small: DataFrame, key: str, broadcastable: bool, salts: int
 ) -> DataFrame:
@@ -37,6 +43,13 @@ def hot_keys(rows: DataFrame, key: list[str], rows_per_split: int) -> DataFrame:
     )
 
 
+def adaptive_split(df: DataFrame) -> bool:
+    """Does the session split the hot partitions of a shuffled join by itself?"""
+    conf = df.sparkSession.conf
+    names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(conf.get(name, "true") == "true" for name in names)
+
+
 def join_per_key(
     rows: DataFrame,
     per_key: DataFrame,
@@ -47,10 +60,15 @@ def join_per_key(
     """Join many rows with a table of one row per key (``inner`` or ``left``).
 
     With ``hot`` (see ``hot_keys``) the rows of a hot key are cut into its number
-    of parts, and only that key's row of ``per_key`` is repeated.
+    of parts, and only that key's row of ``per_key`` is repeated. Without it every
+    key is one part. Either way the part is a join key, so both sides are shuffled
+    for this join and not for what came before it: only then does adaptive
+    execution split a partition that is much larger than the others.
     """
     if hot is None:
-        return rows.join(per_key, key, how)
+        one = F.pmod(F.xxhash64(*key), F.lit(1)).cast("int")
+        left, right = rows.withColumn("_part", one), per_key.withColumn("_part", one)
+        return left.join(right, [*key, "_part"], how).drop("_part")
     hot = F.broadcast(hot)
     parts = F.coalesce("_parts", F.lit(1))
     part = F.pmod(row_hash(rows), parts).cast("int")

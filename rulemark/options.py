@@ -58,7 +58,8 @@ class LabelOptions:
     probe_limit: int = 32
     #: salt buckets of the shuffled joins.
     salts: int = 64
-    #: ids with more source rows than this are split when labels are joined back.
+    #: ids with more source rows than this are split when labels are joined back,
+    #: where their counts are at hand or adaptive execution does not split them.
     hot_id_rows: int | None = 1_000_000
 
     def __post_init__(self):

@@ -13,7 +13,6 @@ from rulemark.functions.names import clean_names
 from rulemark.operators.actions import resolve
 from rulemark.operators.compiled import CompiledRules, compile_rules
 from rulemark.operators.matching import match_rules, with_payload
-from rulemark.operators.skew import join_per_key
 from rulemark.operators.snapshot import detect_date_column, latest_per_key
 from rulemark.operators.sync import unmapped_rows
 from rulemark.options import FolderOptions, LabelOptions
@@ -57,7 +56,7 @@ def resolved_snapshot(
     snapshot = latest_per_key(data, id_column, rules.search_columns, date_column, tiebreak, count_as=ROWS)
     hits = with_payload(match_rules(snapshot, id_column, rules), rules)
     resolved = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
-    joined = join_per_key(snapshot, resolved.withColumnRenamed("id", id_column), [id_column], "left")
+    joined = snapshot.join(resolved.withColumnRenamed("id", id_column), id_column, "left")
     return joined.withColumn("is_deleted", F.coalesce("is_deleted", F.lit(False)))
 
 
@@ -78,7 +77,7 @@ def labelled_rows(
     per_id = state.filter(told).select(F.col(id_column).alias("id"), "is_deleted", *labels)
     size = state.filter(told).agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
     if size <= rules.options.broadcast_bytes:
-        return carry_back(data, F.broadcast(per_id), rules, id_column)
+        return carry_back(data, per_id, rules, id_column, broadcast=True)
     split = rules.options.hot_id_rows
     hot = None
     if split:

@@ -11,7 +11,7 @@ from rulemark.errors import SettingsError
 from rulemark.operators.actions import resolve, tag_table
 from rulemark.operators.compiled import CompiledRules
 from rulemark.operators.matching import match_rules, with_payload
-from rulemark.operators.skew import hot_keys, join_per_key
+from rulemark.operators.skew import adaptive_split, hot_keys, join_per_key
 from rulemark.operators.snapshot import latest_per_key
 from rulemark.operators.sync import unmapped_rows
 
@@ -51,12 +51,20 @@ def carry_back(
     rules: CompiledRules,
     id_column: str,
     hot: DataFrame | None = None,
+    broadcast: bool = False,
 ) -> DataFrame:
-    """Give every row the labels of its id; drop deleted ids and rows without id."""
+    """Give every row the labels of its id; drop deleted ids and rows without id.
+
+    ``broadcast`` is for a ``resolved`` measured to be small, ``hot`` splits
+    frequent ids (``skew.join_per_key``).
+    """
     per_id = resolved.withColumnRenamed("id", id_column)
-    joined = join_per_key(data.filter(F.col(id_column).isNotNull()), per_id, [id_column], "left", hot)
-    kept = joined.filter(~F.coalesce("is_deleted", F.lit(False)))
-    labelled = kept.select(*data.columns, *rules.label_columns)
+    rows = data.filter(F.col(id_column).isNotNull())
+    if broadcast:
+        joined = rows.join(F.broadcast(per_id), id_column, "left")
+    else:
+        joined = join_per_key(rows, per_id, [id_column], "left", hot)
+    labelled = _undeleted(joined).select(*data.columns, *rules.label_columns)
     if not rules.options.keep_null_ids:
         return labelled
     without = data.filter(F.col(id_column).isNull())
@@ -65,6 +73,10 @@ def carry_back(
     )
 
 
+def _undeleted(rows: DataFrame) -> DataFrame:
+    return rows.filter(~F.coalesce("is_deleted", F.lit(False)))
+
+
 def label_table(
     data: DataFrame,
     rules: CompiledRules,
@@ -78,8 +90,12 @@ def label_table(
     hits = match_rules(snapshot, id_column, rules)
     paid = with_payload(hits, rules)
     resolved = resolve(paid, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
-    hot = hot_keys(data, [id_column], options.hot_id_rows) if options.hot_id_rows else None
-    labelled_snapshot = carry_back(snapshot, resolved, rules, id_column)
+    # both have one row per id and are partitioned by it
+    labelled_snapshot = _undeleted(snapshot.join(resolved.withColumnRenamed("id", id_column), id_column, "left"))
+    # counting the ids costs a scan: only where adaptive execution does not split
+    hot = None
+    if options.hot_id_rows and not adaptive_split(data):
+        hot = hot_keys(data, [id_column], options.hot_id_rows)
     return LabelResult(
         labelled=carry_back(data, resolved, rules, id_column, hot),
         unmapped=unmapped_rows(

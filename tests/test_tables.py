@@ -125,3 +125,30 @@ def test_hot_keys_are_split(spark):
         plain = many.join(per_key, "k", how)
         split = skew.join_per_key(many, per_key, ["k"], how, hot)
         assert rows(split.select(plain.columns)) == rows(plain)
+
+
+def test_adaptive_execution_splits_hot_keys(spark):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        many = spark.range(0, 60_000, 1, 16).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+        )
+        # grouped by the key already, as resolved labels are
+        per_key = spark.range(60_000).groupBy(F.col("id").alias("k")).agg(F.max("id").alias("w"))
+        joined = skew.join_per_key(many, per_key, ["k"], "left").agg(F.count("v").alias("n"), F.sum("w").alias("s"))
+        assert rows(joined) == [(60_000, sum(i for i in range(60_000) if i % 3))]
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        assert skew.adaptive_split(many)
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+        assert not skew.adaptive_split(many)
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+        for name, value in before.items():
+            spark.conf.set(name, value)
