@@ -54,6 +54,9 @@ def resolved_snapshot(
     """The snapshot with ``is_deleted``, labels and the number of source rows of each id."""
     options = rules.options
     snapshot = latest_per_key(data, id_column, rules.search_columns, date_column, tiebreak, count_as=ROWS)
+    # always true; it keeps the count in both uses of the snapshot below, which are
+    # then the same shuffle and made in one scan
+    snapshot = snapshot.filter(F.col(ROWS) > 0)
     hits = with_payload(match_rules(snapshot, id_column, rules), rules)
     resolved = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
     joined = snapshot.join(resolved.withColumnRenamed("id", id_column), id_column, "left")

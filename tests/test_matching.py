@@ -136,3 +136,32 @@ def test_plan_has_one_exchange_and_no_nested_loop(spark):
     plan = match_rules(data.repartition(8, "id"), "id", compiled)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert plan.count("Exchange hashpartitioning") == 1  # the given one by id
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 * 1024 * 1024, 0], ids=["broadcast", "shuffle"])
+def test_dictionary_beyond_the_local_limit(spark, broadcast_bytes):
+    n = 12_000
+    raw = spark.range(1, n + 1).select(
+        F.col("id").alias("n"), F.lit("a").alias("action"),
+        F.element_at(F.array(*map(F.lit, ["p", "s", "e", "fts", "f"])), (F.col("id") % 5 + 1).cast("int")).alias("match"),
+        F.lit("0").alias("search"), F.lit(None).cast("string").alias("note"),
+        F.concat(F.lit("item "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("term"), F.col("id").cast("string").alias("tag"),
+    )
+    compiled = compile_rules(raw, ["a"], ["n"], LabelOptions(broadcast_bytes=broadcast_bytes, salts=4))
+    assert compiled.broadcastable == (broadcast_bytes > 0)
+    data = spark.range(500).select(
+        "id",
+        F.concat(
+            F.when(F.col("id") % 2 == 0, "Item ").otherwise("an item "), F.lpad((F.col("id") * 23 + 1).cast("string"), 6, "0"),
+            F.when(F.col("id") % 3 == 0, " sold").otherwise(""),
+        ).alias("a"),
+    )
+    expected = set()
+    for i in range(500):
+        number = i * 23 + 1
+        if not 1 <= number <= n:
+            continue
+        kind, first, last = "psetf"[number % 5], i % 2 == 0, i % 3 != 0
+        if {"p": True, "t": True, "s": first, "e": last, "f": first and last}[kind]:
+            expected.add((i, number))
+    assert {tuple(r) for r in match_rules(data, "id", compiled).collect()} == expected

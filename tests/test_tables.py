@@ -130,6 +130,7 @@ def test_hot_keys_are_split(spark):
 def test_adaptive_execution_splits_hot_keys(spark):
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
@@ -152,3 +153,19 @@ def test_adaptive_execution_splits_hot_keys(spark):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_snapshot_of_a_folder_job_scans_once(spark, tmp_path):
+    from rulemark.operators.compiled import compile_rules
+    from rulemark.plans.folder import resolved_snapshot
+
+    path = str(tmp_path / "data")
+    spark.range(100).select(F.lit("x").alias("a"), (F.col("id") % 7).alias("k"), "id").write.parquet(path)
+    raw = spark.createDataFrame([(1, "r", "f", "0", None, "X", "t")], "n int, action string, match string, search string, note string, term string, l string")
+    data = spark.read.parquet(path)
+    state = resolved_snapshot(data, compile_rules(raw, data.columns, ["n"]), "k", None, ("id",))
+    assert {(r["l"], r["is_deleted"]) for r in state.collect()} == {("t", False)}
+    assert sum(r["_rows"] for r in state.collect()) == 100
+    state.collect()
+    plan = state._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
