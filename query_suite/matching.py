@@ -54,6 +54,18 @@ _register("match_ascii_case", [rule(1, "a", "p", 0, "thon", "x"), rule(2, "a", "
 _register("match_generated_keys", [*CONTAINS, *[(n, *r[1:]) for n, r in enumerate(WILDCARD, 6)]], probe_limit=0)
 _register("match_distinct_values", [*FULL, *[(n, *r[1:]) for n, r in enumerate(CONTAINS, 5)]], dedupe_values=True)
 
+UNICODE = [rule(1, "a", "p", 0, "été", "x"), rule(2, "a", "p", 0, "ÜBER", "y"), rule(3, "a", "p", 0, "für", "z")]
+
+
+@query(
+    f"""WITH {rules_sql(UNICODE, LABEL)}, {values_sql('documents', 'doc_id', ['text'])}
+    SELECT id, rule_id FROM vals JOIN rules USING (search) WHERE contains(upper(v), upper(term))"""
+)
+def match_unicode_case(spark, sf):
+    """All letters folded, not only a-z."""
+    return _hits(spark, sf, UNICODE, "documents", "doc_id", ["text"], case="unicode")
+
+
 # a dictionary with a rule per supplier and one per customer segment and nation
 MANY = """
 SELECT s_suppkey AS n, 'a' AS action, CASE WHEN s_nationkey < 8 THEN 'p' WHEN s_nationkey < 16 THEN 'e' ELSE 's' END AS match,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rulemark.functions.names import clean_names
 from rulemark.operators import keys, rules as r
 from rulemark.options import LabelOptions
+from rulemark.sources.storage import delete_folder, materialize
 
 #: Dictionaries up to this size are compiled once and kept as a local table.
 LOCAL_RULES = 10_000
@@ -37,6 +38,13 @@ class CompiledRules:
     single_clause: bool
     broadcastable: bool
     options: LabelOptions
+    #: folders that hold the tables of a dictionary too large to be kept locally
+    stored: tuple[str, ...] = ()
+
+    def release(self) -> None:
+        """Delete the stored tables; the rules cannot be used afterwards."""
+        for path in self.stored:
+            delete_folder(self.rules.sparkSession, path)
 
 
 def compile_rules(
@@ -65,10 +73,18 @@ def compile_rules(
     kept = [c for i, c in enumerate(payload) if seen[f"c{i}"]]
     label_columns = clean_names(*columns, *kept)[len(columns) :]
 
-    table = r.rule_table(raw, order_by, at, label_columns, kept, count=seen["n"])
     small = seen["n"] <= LOCAL_RULES and seen["bytes"] <= LOCAL_BYTES
-    if small:
-        table = local_copy(table)
+    stored: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        """The table as computed once, for the several uses it has."""
+        if small:
+            return local_copy(df)
+        copy, path = materialize(df, "rules")
+        stored.append(path)
+        return copy
+
+    table = keep(r.rule_table(raw, order_by, at, label_columns, kept, count=seen["n"]))
 
     # rules may name label columns too; those are empty when rules are matched
     named = [*columns, *label_columns]
@@ -80,16 +96,12 @@ def compile_rules(
     searched = like.select("column_name")
     parts = keys.like_clauses(like)
     if seen["text"]:
-        clauses = r.text_clauses(text, named, options.fts_separator)
-        if small:
-            clauses = local_copy(clauses)
+        clauses = keep(r.text_clauses(text, named, options.fts_separator))
         bad = clauses.filter(F.col("reason").isNotNull()).select("rule_id", "reason").distinct()
         rejected = rejected.unionByName(bad)
         searched = searched.unionByName(clauses.select("column_name"))
         parts = parts.unionByName(keys.token_clauses(clauses))
-    keyed = keys.choose_keys(parts.filter(in_table), seen["n"])
-    if small:
-        keyed = local_copy(keyed)
+    keyed = keep(keys.choose_keys(keep(parts.filter(in_table)), seen["n"]))
 
     found = {row[0] for row in searched.filter(in_table).distinct().collect()}
     key_classes, size = _measure(keyed, options.probe_limit)
@@ -105,6 +117,7 @@ def compile_rules(
         single_clause=size["clauses"] <= 1 and not size["repeated"],
         broadcastable=max(size["bytes"], seen["bytes"]) <= options.broadcast_bytes,
         options=options,
+        stored=tuple(stored),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rulemark.errors import SettingsError
@@ -27,6 +27,8 @@ ROWS = "_rows"
 
 @dataclass(frozen=True)
 class FolderResult:
+    #: rows read from the data files
+    rows_read: int
     labelled: Export
     unmapped: Export
     date_column: str | None
@@ -112,7 +114,11 @@ def label_folder(
         spark, f"{base}/{options.dict_folder}", options.dict_name, options.dict_extension, options.read
     )
     rules = compile_rules(dictionary, columns, ORDER, options.label)
-    state, state_path = materialize(resolved_snapshot(data, rules, id_column, date_column, (ROW,)), "snapshot")
+    used = [id_column, *rules.search_columns, *([date_column] if date_column else []), ROW]
+    read = Observation()
+    counted = data.select(*dict.fromkeys(used)).observe(read, F.count(F.lit(1)).alias("rows"))
+    snapshot = resolved_snapshot(counted, rules, id_column, date_column, (ROW,))
+    state, state_path = materialize(snapshot, "snapshot")
     try:
         kept = state.filter(~F.col("is_deleted"))
         unmapped = unmapped_rows(kept, rules.search_columns, rules.label_columns, options.label.unmapped_mode)
@@ -121,4 +127,4 @@ def label_folder(
         labelled = export_csv(rows, f"{base}/{options.export_folder}", options.table_name, options.write, at)
     finally:
         delete_folder(spark, state_path)
-    return FolderResult(labelled, null_data, date_column, rules.rejected)
+    return FolderResult(read.get["rows"], labelled, null_data, date_column, rules.rejected)

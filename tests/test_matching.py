@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -165,3 +166,6 @@ def test_dictionary_beyond_the_local_limit(spark, broadcast_bytes):
         if {"p": True, "t": True, "s": first, "e": last, "f": first and last}[kind]:
             expected.add((i, number))
     assert {tuple(r) for r in match_rules(data, "id", compiled).collect()} == expected
+    assert len(compiled.stored) == 4
+    compiled.release()
+    assert not any(os.path.exists(path) for path in compiled.stored)

@@ -155,7 +155,7 @@ def test_label_folder(spark, tmp_path, label):
     write(f"{base}/dict/merged_dictionary.csv", "action;match;idx;note;term;cat;tags\n" + rules)
     options = FolderOptions(id_column="Ad Id", date_column="day", label=label, write=WriteOptions(chunk_size=50))
     result = label_folder(spark, base, options)
-    assert result.date_column == "day" and result.rejected.count() == 0
+    assert result.rows_read == len(data) and result.date_column == "day" and result.rejected.count() == 0
 
     latest = {}
     for row in data:
