@@ -19,6 +19,12 @@ def connect(sf):
     return con
 
 
+TYPES = {
+    "VARCHAR": {"string"}, "INTEGER": {"int"}, "BIGINT": {"bigint"}, "DOUBLE": {"double"}, "BOOLEAN": {"boolean"},
+    "TIMESTAMP": {"timestamp", "timestamp_ntz"},
+}
+
+
 def plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else float(f"{value:.9g}")
@@ -41,6 +47,10 @@ def compare(spark, con, sf, name, run, sql):
     other, expected = canonical(result.columns, result.fetchall())
     if columns != other:
         return f"columns {columns} != {other}", len(rows)
+    kinds = dict(zip(result.columns, map(str, result.types)))
+    wrong = {c: (t, kinds[c]) for c, t in df.dtypes if t not in TYPES.get(kinds[c], {t})}
+    if wrong:
+        return f"types differ: {wrong}", len(rows)
     if rows != expected:
         extra = sorted(set(rows) - set(expected), key=repr)[:3]
         missing = sorted(set(expected) - set(rows), key=repr)[:3]
