@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,6 +69,7 @@ def compile_rules(
         F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
         *[F.coalesce(F.max(action == a), F.lit(False)).alias(a) for a in (r.ADD, r.REPLACE, r.DELETE)],
         F.coalesce(F.max(match == r.TEXT), F.lit(False)).alias("text"),
+        F.coalesce(F.max(match != r.TEXT), F.lit(False)).alias("like"),
         *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(payload)],
     ).first()
     kept = [c for i, c in enumerate(payload) if seen[f"c{i}"]]
@@ -89,18 +91,21 @@ def compile_rules(
     # rules may name label columns too; those are empty when rules are matched
     named = [*columns, *label_columns]
     like, text = r.split_by_match(table)
-    like = r.like_patterns(r.resolve_columns(like, named, options.on_bad_rule))
-    bad = like.filter(F.col("search").try_cast("bigint").isNull())
-    rejected = bad.select("rule_id", F.lit("search index is not a number").alias("reason"))
     in_table = F.col("column_name").isin(columns)
-    searched = like.select("column_name")
-    parts = keys.like_clauses(like)
+    searched, rejected, parts = [], [], []
+    if seen["like"] or not seen["text"]:
+        like = r.like_patterns(r.resolve_columns(like, named, options.on_bad_rule))
+        bad = like.filter(F.col("search").try_cast("bigint").isNull())
+        rejected.append(bad.select("rule_id", F.lit("search index is not a number").alias("reason")))
+        searched.append(like.select("column_name"))
+        parts.append(keys.like_clauses(like))
     if seen["text"]:
         clauses = keep(r.text_clauses(text, named, options.fts_separator))
-        bad = clauses.filter(F.col("reason").isNotNull()).select("rule_id", "reason").distinct()
-        rejected = rejected.unionByName(bad)
-        searched = searched.unionByName(clauses.select("column_name"))
-        parts = parts.unionByName(keys.token_clauses(clauses))
+        bad = clauses.filter(F.col("reason").isNotNull())
+        rejected.append(bad.select("rule_id", "reason").distinct())
+        searched.append(clauses.select("column_name"))
+        parts.append(keys.token_clauses(clauses))
+    searched, rejected, parts = (reduce(DataFrame.unionByName, x) for x in (searched, rejected, parts))
     keyed = keep(keys.choose_keys(keep(parts.filter(in_table)), seen["n"]))
 
     found = {row[0] for row in searched.filter(in_table).distinct().collect()}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulemark.errors import RuleError, SettingsError
+from rulemark.functions.names import clean_names
 from rulemark.options import ReadOptions, WriteOptions
 from rulemark.sources.export import csv_writer
 from rulemark.sources.files import FILE, ROW, list_files, read_files, read_header
@@ -22,7 +23,7 @@ def read_dictionary(spark: SparkSession, path: str, options: ReadOptions = ReadO
     part = _part_files(spark, path).agg(F.min("path")).first()[0]
     if part is None:
         raise SettingsError(f"no dictionary at {path!r}")
-    return read_files(spark, path, read_header(spark, part, options), options)
+    return read_files(spark, path, clean_names(*read_header(spark, part, options)), options)
 
 
 def _part_files(spark: SparkSession, path: str) -> DataFrame:
@@ -54,7 +55,7 @@ def get_dictionary(
     files = [row[0] for row in list_files(spark, folder, extension).orderBy("path").collect()]
     if not files:
         raise SettingsError(f"no dictionary files with extension {extension!r} in {folder!r}")
-    parts = [read_files(spark, f, read_header(spark, f, options), options).drop(*ORDER) for f in files]
+    parts = [read_dictionary(spark, f, options).drop(*ORDER) for f in files]
     # BOM and compression are for exports; the dictionary is read back by us
     csv_writer(merge(parts), WriteOptions(separator=options.separator, compression=None)).save(target)
     return read_dictionary(spark, target, options)

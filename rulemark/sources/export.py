@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rulemark.errors import SettingsError
 from rulemark.options import WriteOptions
+from rulemark.sources.files import BOM
 from rulemark.sources.storage import delete_folder
 
 # File suffix per compression name, and Spark's name for it.
@@ -19,7 +20,6 @@ SUFFIXES = {
 }
 CODECS = {None: "none", "infer": "none", "gzip": "gzip", "gz": "gzip", "bz2": "bzip2"}
 
-BOM = "﻿"
 
 
 @dataclass(frozen=True)

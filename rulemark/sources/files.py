@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from rulemark.errors import SettingsError
 from rulemark.functions.names import clean_names
 from rulemark.options import ReadOptions
 
+BOM = "\ufeff"
 #: Load order of a row: greater within a file the later the row comes.
 ROW = "_src_row"
 FILE = "_src_file"
@@ -63,20 +66,15 @@ def _options(options: ReadOptions) -> dict:
 
 
 def read_header(spark: SparkSession, file: str, options: ReadOptions = ReadOptions()) -> list[str]:
-    """Column names of one file; ``column_1, ...`` if it has no header."""
+    """Column names of one file as they stand there; ``column_1, ...`` without a header."""
     if options.skip_rows:
-        line = _lines(spark, file, options).filter(F.col("_line") == options.skip_rows)
-        text = line.select("value").first()
-        if text is None:
-            return []
-        names = spark.createDataFrame([(text[0],)], "value string")
-        split = spark.read.options(**_options(options)).option("header", options.has_header)
-        frame = split.csv(names.rdd.map(lambda r: r[0]))
+        line = _lines(spark, file, options).filter(F.col("_line") == options.skip_rows).select("value").first()
+        fields = next(csv.reader([line["value"]], delimiter=options.separator)) if line else []
     else:
-        frame = spark.read.options(**_options(options)).option("header", options.has_header).csv(file)
+        fields = spark.read.options(**_options(options)).option("header", False).csv(file).first() or []
     if options.has_header:
-        return frame.columns
-    return [f"column_{i + 1}" for i in range(len(frame.columns))]
+        return [(name or "").removeprefix(BOM) for name in fields]
+    return [f"column_{i + 1}" for i in range(len(fields))]
 
 
 def read_files(

@@ -79,6 +79,15 @@ def test_folder_of_files(spark, tmp_path):
         files.read_folder(spark, str(tmp_path / "missing"), "csv")
 
 
+def test_repeated_and_empty_header_names(spark, tmp_path):
+    write(f"{tmp_path}/x/a.csv", "\ufefftag;tag;;Tag;\"a;b\"\n1;2;3;4;5\n")
+    read = files.read_folder(spark, f"{tmp_path}/x", "csv")
+    assert read.columns[:5] == ["tag", "tag_1", "col_2", "Tag_2", "ab"]
+    assert rows(read.select(read.columns[:5])) == [("1", "2", "3", "4", "5")]
+    rules = dictionary.read_dictionary(spark, f"{tmp_path}/x/a.csv")
+    assert rules.drop(*dictionary.ORDER).first() == ("1", "2", "3", "4", "5")
+
+
 def test_malformed_lines_and_encoding(spark, tmp_path):
     write(f"{tmp_path}/x/a.csv", "a;b\n1;2\n3;4;5\n6\n", "utf-16")
     with pytest.raises(Exception, match="MALFORMED"):
