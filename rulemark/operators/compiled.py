@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rulemark.errors import RuleError
 from rulemark.functions.names import clean_names
 from rulemark.operators import keys, rules as r
 from rulemark.options import LabelOptions
@@ -16,6 +17,8 @@ from rulemark.sources.storage import delete_folder, materialize
 #: Dictionaries up to this size are compiled once and kept as a local table.
 LOCAL_RULES = 10_000
 LOCAL_BYTES = 4 * 1024 * 1024
+#: Columns of resolved ids beside the labels.
+RESERVED = {"id", "is_deleted"}
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,8 @@ def compile_rules(
     ).first()
     kept = [c for i, c in enumerate(payload) if seen[f"c{i}"]]
     label_columns = clean_names(*columns, *kept)[len(columns) :]
+    if RESERVED & {c.lower() for c in label_columns}:
+        raise RuleError(f"label columns cannot be named {sorted(RESERVED)}: {label_columns}")
 
     small = seen["n"] <= LOCAL_RULES and seen["bytes"] <= LOCAL_BYTES
     stored: list[str] = []

@@ -22,7 +22,8 @@ from rulemark.sources.export import Export, export_csv
 from rulemark.sources.files import FILE, ROW, first_file, read_files, read_folder, read_header
 from rulemark.sources.storage import delete_folder, materialize
 
-ROWS = "_rows"
+# columns of a resolved snapshot beside the id, the searched columns and the labels
+ROWS, DELETED = "_rows", "_is_deleted"
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ def resolved_snapshot(
     date_column: str | None,
     tiebreak: tuple[str, ...],
 ) -> DataFrame:
-    """The snapshot with ``is_deleted``, labels and the number of source rows of each id."""
+    """The snapshot with its deletions (``_is_deleted``), labels and the number of source rows of each id."""
     options = rules.options
     snapshot = latest_per_key(data, id_column, rules.search_columns, date_column, tiebreak, count_as=ROWS)
     # always true; it keeps the count in both uses of the snapshot below, which are
@@ -61,8 +62,9 @@ def resolved_snapshot(
     snapshot = snapshot.filter(F.col(ROWS) > 0)
     hits = with_payload(match_rules(snapshot, id_column, rules), rules)
     resolved = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
-    joined = snapshot.join(resolved.withColumnRenamed("id", id_column), id_column, "left")
-    return joined.withColumn("is_deleted", F.coalesce("is_deleted", F.lit(False)))
+    resolved = resolved.withColumnsRenamed({"id": id_column, "is_deleted": DELETED})
+    joined = snapshot.join(resolved, id_column, "left")
+    return joined.withColumn(DELETED, F.coalesce(DELETED, F.lit(False)))
 
 
 def labelled_rows(
@@ -74,12 +76,12 @@ def labelled_rows(
     measured size allows, else joined by id with the frequent ids split.
     """
     labels = [F.col(f"`{c}`") for c in rules.label_columns]
-    told = F.col("is_deleted")
+    told = F.col(DELETED)
     width = F.lit(64) + F.octet_length(F.col(id_column).cast("string"))
     for label in labels:
         told = told | label.isNotNull()
         width = width + F.coalesce(F.octet_length(label), F.lit(0))
-    per_id = state.filter(told).select(F.col(id_column).alias("id"), "is_deleted", *labels)
+    per_id = state.filter(told).select(F.col(id_column).alias("id"), F.col(DELETED).alias("is_deleted"), *labels)
     size = state.filter(told).agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
     if size <= rules.options.broadcast_bytes:
         return carry_back(data, per_id, rules, id_column, broadcast=True)
@@ -120,7 +122,7 @@ def label_folder(
     snapshot = resolved_snapshot(counted, rules, id_column, date_column, (ROW,))
     state, state_path = materialize(snapshot, "snapshot")
     try:
-        kept = state.filter(~F.col("is_deleted"))
+        kept = state.filter(~F.col(DELETED))
         unmapped = unmapped_rows(kept, rules.search_columns, rules.label_columns, options.label.unmapped_mode)
         null_data = export_csv(unmapped, base, "null_data", options.write, at)
         rows = labelled_rows(data.select(*columns), state, rules, id_column)

@@ -58,7 +58,7 @@ def carry_back(
     ``broadcast`` is for a ``resolved`` measured to be small, ``hot`` splits
     frequent ids (``skew.join_per_key``).
     """
-    per_id = resolved.withColumnRenamed("id", id_column)
+    per_id = _by_id(resolved, id_column)
     rows = data.filter(F.col(id_column).isNotNull())
     if broadcast:
         joined = rows.join(F.broadcast(per_id), id_column, "left")
@@ -73,8 +73,13 @@ def carry_back(
     )
 
 
+def _by_id(resolved: DataFrame, id_column: str) -> DataFrame:
+    # the data may have a column is_deleted of its own
+    return resolved.withColumnsRenamed({"id": id_column, "is_deleted": "_is_deleted"})
+
+
 def _undeleted(rows: DataFrame) -> DataFrame:
-    return rows.filter(~F.coalesce("is_deleted", F.lit(False)))
+    return rows.filter(~F.coalesce("_is_deleted", F.lit(False)))
 
 
 def label_table(
@@ -91,7 +96,7 @@ def label_table(
     paid = with_payload(hits, rules)
     resolved = resolve(paid, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
     # both have one row per id and are partitioned by it
-    labelled_snapshot = _undeleted(snapshot.join(resolved.withColumnRenamed("id", id_column), id_column, "left"))
+    labelled_snapshot = _undeleted(snapshot.join(_by_id(resolved, id_column), id_column, "left"))
     # counting the ids costs a scan: only where adaptive execution does not split
     hot = None
     if options.hot_id_rows and not adaptive_split(data):

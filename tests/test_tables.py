@@ -164,8 +164,56 @@ def test_snapshot_of_a_folder_job_scans_once(spark, tmp_path):
     raw = spark.createDataFrame([(1, "r", "f", "0", None, "X", "t")], "n int, action string, match string, search string, note string, term string, l string")
     data = spark.read.parquet(path)
     state = resolved_snapshot(data, compile_rules(raw, data.columns, ["n"]), "k", None, ("id",))
-    assert {(r["l"], r["is_deleted"]) for r in state.collect()} == {("t", False)}
+    assert {(r["l"], r["_is_deleted"]) for r in state.collect()} == {("t", False)}
     assert sum(r["_rows"] for r in state.collect()) == 100
     state.collect()
     plan = state._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+RULE_SCHEMA = "n int, action string, match string, search string, note string, term string"
+
+
+def job(spark, rules, schema="", **options):
+    from rulemark.operators.compiled import compile_rules
+    from rulemark.options import LabelOptions
+    from rulemark.plans.label import label_table
+
+    data = spark.createDataFrame(
+        [("x", 1, True), ("y", 1, None), ("x", None, None), ("z", 2, False)], "a string, k int, is_deleted boolean"
+    )
+    raw = spark.createDataFrame(rules, RULE_SCHEMA + schema)
+    compiled = compile_rules(raw, data.columns, ["n"], LabelOptions(**options))
+    return label_table(data, compiled, "k", None)
+
+
+def test_job_without_rules(spark):
+    result = job(spark, [])
+    assert rows(result.labelled) == [("x", 1, True), ("y", 1, None), ("z", 2, False)]
+    assert result.hits.count() == result.tags.count() == result.unmapped.count() == 0
+
+
+def test_job_that_only_deletes(spark):
+    result = job(spark, [(1, "d", "f", "0", None, "Z")])
+    assert rows(result.labelled) == [("x", 1, True), ("y", 1, None)]
+    assert result.labelled.columns == ["a", "k", "is_deleted"] and rows(result.hits) == [(2, 1)]
+
+
+def test_job_keeps_rows_without_id_if_asked(spark):
+    rules = [(1, "r", "p", "0", None, "z", "Z")]
+    assert rows(job(spark, rules, ", l string").labelled) == [("x", 1, True, None), ("y", 1, None, None), ("z", 2, False, "Z")]
+    kept = rows(job(spark, rules, ", l string", keep_null_ids=True).labelled)
+    assert kept == [("x", 1, True, None), ("x", None, None, None), ("y", 1, None, None), ("z", 2, False, "Z")]
+
+
+def test_job_needs_its_id_and_free_label_names(spark):
+    from rulemark.errors import RuleError, SettingsError
+    from rulemark.operators.compiled import compile_rules
+    from rulemark.plans.label import label_table
+
+    raw = spark.createDataFrame([(1, "r", "f", "0", None, "z", "Z")], RULE_SCHEMA + ", ID string")
+    with pytest.raises(RuleError):
+        compile_rules(raw, ["a"], ["n"])
+    rules = compile_rules(raw.withColumnRenamed("ID", "l"), ["a"], ["n"])
+    with pytest.raises(SettingsError):
+        label_table(spark.createDataFrame([("x",)], "a string"), rules, "k")
