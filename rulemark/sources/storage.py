@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from rulemark.errors import SettingsError
 
 
+#: Folders of local sessions, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -20,9 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise SettingsError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="rulemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="rulemark-")
+    return _LOCAL_FOLDERS[application]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
