@@ -26,7 +26,7 @@ def number_rows(
     if count is None:
         count = df.count()
     buckets = min(MAX_BUCKETS, -(-count // bucket_rows)) if count else 1
-    if buckets <= 1:
+    if buckets <= 1:  # counted: one task holds at most bucket_rows rows
         numbered = F.row_number().over(Window.orderBy(*order_by))
         return df.withColumn(name, numbered.cast("int"))
 
