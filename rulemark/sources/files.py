@@ -18,7 +18,7 @@ BOM = "\ufeff"
 ROW = "_src_row"
 FILE = "_src_file"
 #: Stands for a quoted empty field while reading, to tell it from a missing one.
-_QUOTED_EMPTY = "\u0001\u0001"
+QUOTED_EMPTY = "\u0001\u0001"
 #: Up to this many files the table of first lines is broadcast.
 _MANY_FILES = 100_000
 
@@ -53,7 +53,7 @@ def _pattern(folder: str, extension: str) -> str:
     return f"{folder.rstrip('/')}/*.{extension.strip('.')}"
 
 
-def _options(options: ReadOptions) -> dict:
+def csv_options(options: ReadOptions) -> dict:
     return {
         "sep": options.separator,
         "encoding": options.encoding,
@@ -71,7 +71,7 @@ def read_header(spark: SparkSession, file: str, options: ReadOptions = ReadOptio
         line = _lines(spark, file, options).filter(F.col("_line") == options.skip_rows).select("value").first()
         fields = next(csv.reader([line["value"]], delimiter=options.separator)) if line else []
     else:
-        fields = spark.read.options(**_options(options)).option("header", False).csv(file).first() or []
+        fields = spark.read.options(**csv_options(options)).option("header", False).csv(file).first() or []
     if options.has_header:
         return [(name or "").removeprefix(BOM) for name in fields]
     return [f"column_{i + 1}" for i in range(len(fields))]
@@ -93,19 +93,19 @@ def read_files(
         raw = _read_skipping(spark, location, schema, options, reader_options)
     else:
         raw = (
-            spark.read.options(**_options(options), **reader_options)
+            spark.read.options(**csv_options(options), **reader_options)
             .option("header", options.has_header)
-            .option("emptyValue", _QUOTED_EMPTY)
+            .option("emptyValue", QUOTED_EMPTY)
             .schema(schema)
             .csv(location)
             .select("*", F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias(ROW))
         )
-    return raw.select(*[_restore_empty(n) for n in names], FILE, ROW)
+    return raw.select(*[restore_empty(n) for n in names], FILE, ROW)
 
 
-def _restore_empty(name: str):
+def restore_empty(name: str):
     column = F.col(f"`{name}`")
-    return F.when(column == _QUOTED_EMPTY, "").otherwise(column).alias(name)
+    return F.when(column == QUOTED_EMPTY, "").otherwise(column).alias(name)
 
 
 def _lines(spark: SparkSession, location: str, options: ReadOptions, reader_options: dict | None = None) -> DataFrame:
@@ -130,8 +130,8 @@ def _read_skipping(spark, location, schema, options, reader_options) -> DataFram
     skipped = options.skip_rows + (1 if options.has_header else 0)
     lines = _lines(spark, location, options, reader_options)
     kept = lines.filter(F.col("_line").isNull() | (F.col("_line") >= skipped)).filter(F.length(F.trim("value")) > 0)
-    parse = {k: str(v) for k, v in _options(options).items() if k not in ("encoding", "multiLine", "inferSchema")}
-    parsed = F.from_csv("value", F.lit(schema.simpleString()[7:-1].replace(":", " ")), {**parse, "emptyValue": _QUOTED_EMPTY})
+    parse = {k: str(v) for k, v in csv_options(options).items() if k not in ("encoding", "multiLine", "inferSchema")}
+    parsed = F.from_csv("value", F.lit(schema.simpleString()[7:-1].replace(":", " ")), {**parse, "emptyValue": QUOTED_EMPTY})
     return kept.select(parsed.alias("r"), FILE, ROW).select("r.*", FILE, ROW)
 
 

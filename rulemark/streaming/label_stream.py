@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rulemark.errors import SettingsError
 from rulemark.operators.compiled import CompiledRules
 from rulemark.options import ReadOptions
 from rulemark.plans.label import label_table
-from rulemark.sources.files import _options
+from rulemark.sources.files import QUOTED_EMPTY, csv_options, restore_empty
 
 
 def stream_folder(
@@ -21,14 +22,18 @@ def stream_folder(
     files_per_batch: int = 100,
 ) -> DataFrame:
     """Files of a folder as they arrive, as text columns ``names``."""
+    if options.skip_rows:
+        raise SettingsError("a stream of files cannot skip first lines")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return (
         spark.readStream.schema(schema)
-        .options(**_options(options))
+        .options(**csv_options(options))
         .option("header", options.has_header)
+        .option("emptyValue", QUOTED_EMPTY)
         .option("pathGlobFilter", f"*.{extension.strip('.')}")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
+        .select(*[restore_empty(n) for n in names])
     )
 
 

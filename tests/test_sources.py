@@ -215,6 +215,10 @@ def test_stream(spark, tmp_path):
 
     assert run() == [("1", "SHOP", 0)]
     write(f"{folder}/2.csv", head + "1;2024-01-02;none;SMARTPHONE;m\n")
-    write(f"{folder}/3.csv", head + "3;2024-01-02;none;TV;m\n")
+    write(f"{folder}/3.csv", head + '3;2024-01-02;none;"";m\n')
     assert run() == [("1", "PHONES", 1), ("1", "SHOP", 0), ("3", None, 2)]
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.filter("AdId = '3'").first()["article"] == ""
+    with pytest.raises(SettingsError):
+        stream_folder(spark, folder, COLUMNS, options=ReadOptions(skip_rows=1))
     assert run() == [("1", "PHONES", 1), ("1", "SHOP", 0), ("3", None, 2)]
