@@ -1,6 +1,6 @@
 """All queries of the subpackage."""
 
-from rulemark.llm import exact_dedup, sharding  # noqa: F401
+from rulemark.llm import exact_dedup, language, licenses, packing, sharding, simhash  # noqa: F401
 from rulemark.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
