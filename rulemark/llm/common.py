@@ -64,7 +64,13 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is not among ``dropped``; null equals null."""
-    other = dropped.select(F.col("doc_id").alias("_dropped_id")).distinct()
-    return docs.join(other, same(docs["doc_id"], other["_dropped_id"]), "left_anti")
+def text_hash() -> Column:
+    """With ``doc_id``, tells the rows of a table apart; equal rows are treated alike."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not among ``gone`` (``doc_id``, ``text_hash``); null equals null."""
+    other = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"))
+    matched = same(docs["doc_id"], other["_gone_id"]) & (text_hash() == other["_gone_hash"])
+    return docs.join(other, matched, "left_anti")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulemark.llm.common import cut, query, same, small_batches, table
+from rulemark.llm.common import cut, query, small_batches, table, text_hash, without_rows
 
 #: Length of the vectors, and the seed of the letters.
 SIZE, SEED = 1024, 20240601
@@ -157,32 +157,31 @@ def predictor(prototypes: dict[str, np.ndarray]):
                     langs.append(names[best] if best >= 0 else "und")
                     scores.append(min(1.0, max(0.0, float(row[best]))) if best >= 0 else 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"],
+                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                ["doc_id", "text_hash", "held_out", "lang_pred", "score"],
             )
 
     return predict
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``held_out``, ``lang_pred``, ``score``.
+    """One row per document: ``doc_id``, ``text_hash``, ``held_out``, ``lang_pred``, ``score``.
 
     Learns from the rows that are not held out.
     """
     prototypes = learn(docs.filter(~held_out()))
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out().alias("held_out"), "text")
-    return rows.mapInArrow(predictor(prototypes), "doc_id bigint, held_out boolean, lang_pred string, score double")
+    rows = small_batches(docs).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("text_hash"), held_out().alias("held_out"), "text"
+    )
+    schema = "doc_id bigint, text_hash bigint, held_out boolean, lang_pred string, score double"
+    return rows.mapInArrow(predictor(prototypes), schema)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that have a language, with all their columns."""
-    gone = cut(identify(docs).filter("lang_pred = 'und'").select(F.col("doc_id").alias("_gone")).distinct())
-    # A row of the same id may be better than the one that goes.
-    wordless = ~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    marked = docs.join(gone, same(docs["doc_id"], gone["_gone"]), "left_semi").filter(~wordless)
-    return docs.join(gone, same(docs["doc_id"], gone["_gone"]), "left_anti").unionByName(marked).select(docs.columns)
+    return without_rows(docs, cut(identify(docs).filter("lang_pred = 'und'").select("doc_id", "text_hash")))
 
 
 @query()
 def op6_language_id(spark, sf):
-    return identify(table(spark, sf, "documents"))
+    return identify(table(spark, sf, "documents")).drop("text_hash")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulemark.llm.common import cut, query, same, small_batches, table, utf8
+from rulemark.llm.common import cut, query, same, small_batches, table, text_hash, utf8, without_rows
 from rulemark.llm.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -62,16 +62,17 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 def _fingerprints(batches):
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([fingerprint(t) for t in texts], pa.int64())], ["doc_id", "fp"]
-        )
+        fps = [fingerprint(t) for t in batch.column(2).to_pylist()]
+        columns = [batch.column(0), batch.column(1), pa.array(fps, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp``, the 64 bits as a signed number."""
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
+    """``doc_id``, ``text_hash`` and ``fp``, the 64 bits as a signed number."""
+    rows = small_batches(docs).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("text_hash"), utf8().alias("text")
+    )
+    return rows.mapInArrow(_fingerprints, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -167,8 +168,7 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     """One document of each group, that with the smallest id; a group without ids stays whole."""
     rows = cut(fingerprints(docs))
     dropped = _groups(rows).filter(~same(F.col("doc_id"), F.col("component_id")))
-    gone = cut(dropped.select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, same(docs["doc_id"], gone["_gone"]), "left_anti")
+    return without_rows(docs, cut(dropped.select("doc_id", "text_hash")))
 
 
 @query()
