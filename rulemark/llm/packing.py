@@ -91,12 +91,12 @@ def sum_of_squares(lengths: list[int], length: int) -> tuple[list[int], list[int
     held: list[list[int]] = [[] for _ in range(length + 1)]
     windows, offsets, used = [], [], 0
     for size in lengths:
-        # Change of the sum of squares, halved: leaving level l gives 1 - 2n, reaching one 1 + 2n.
+        # Change of the sum of squares: a window leaves a level (1 - 2n) and reaches one (1 + 2n).
         levels = length - size
-        reach = counts[size : length + 1].copy()
-        reach[-1] = -1  # a full window leaves the array: no term, and less than any other
-        cost = reach - counts[: levels + 1] + 1
-        cost[0] = reach[0]
+        reach = 2 * counts[size : length + 1] + 1
+        reach[-1] = 0  # a full window leaves the array
+        cost = reach + 1 - 2 * counts[: levels + 1]
+        cost[0] = reach[0]  # a new one leaves no level
         open_now = counts[: levels + 1] > 0
         open_now[0] = True
         cost = np.where(open_now, cost, np.iinfo(np.int64).max)

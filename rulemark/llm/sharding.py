@@ -76,6 +76,8 @@ def following(prefix: tuple[int, ...]) -> tuple[int, ...]:
 def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[tuple[int, ...]]:
     """Key prefixes in order; a shard starts at each of them."""
     total = rows.agg(F.sum("size")).first()[0] or 0
+    if not total:
+        return []
     slack = tolerance * total / shards
     cells: dict[tuple[int, ...], int] = {(): 0}  # cells to divide, and the bytes before them
     wanted = {(): [total * i / shards for i in range(1, shards)]}
