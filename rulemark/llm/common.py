@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,17 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def kept_by_worker(name: str, make):
+    """What ``make`` returns, made once in each Python worker process, which serves many tasks.
+
+    For things that depend on nothing but the name: vocabularies and bounded caches.
+    """
+    holder = sys.modules.setdefault("_corpus_worker", types.ModuleType("_corpus_worker"))
+    if not hasattr(holder, name):
+        setattr(holder, name, make())
+    return getattr(holder, name)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder all executors share, and forget how it was made.
 

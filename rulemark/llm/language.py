@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rulemark.llm.common import cut, query, small_batches, table, text_hash, without_rows
+from rulemark.llm.common import cut, kept_by_worker, query, small_batches, table, text_hash, without_rows
 
 #: Length of the vectors, and the seed of the letters.
 SIZE, SEED = 1024, 20240601
@@ -51,7 +51,7 @@ class Counter:
     """Trigram counts of texts, and the vectors of the trigrams."""
 
     def __init__(self):
-        self.letters, self.vectors = letters_table(), {}
+        self.letters, self.vectors = kept_by_worker("letters", letters_table), kept_by_worker("letter_vectors", dict)
 
     def codes(self, text: str | None) -> np.ndarray:
         if not text:

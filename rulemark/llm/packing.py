@@ -16,6 +16,8 @@ Repeated rows are packed once each.
 
 from __future__ import annotations
 
+import contextlib
+import re
 import zlib
 
 import numpy as np
@@ -23,14 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulemark.llm.common import cut, query, small_batches, table
+from rulemark.llm.common import cut, kept_by_worker, query, small_batches, table
 
 LENGTH, END = 2048, 1
 VOCABULARY = "word_bpe_49k.json"
 #: Rests placed by one task; the sequences it leaves open are some dozens whatever the number.
 RESTS_PER_TASK = 50_000
-#: Words whose ids a task remembers.
-CACHE = 200_000
+#: Parts of texts whose ids a worker remembers.
+CACHE = 500_000
+#: Fixed value: how the vocabulary divides a simple text in lower case.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: Simple texts: letters up to here are composed and have one lower case whatever stands by
+#: them. Left out are marks that only one of Python and the vocabulary takes for a blank, and
+#: numbers that Python takes for letters.
+SIMPLE = re.compile(r"[\x00-\x1B\x20-\xB1\xB4-\xB8\xBA\xBB\xBF-\u012F\u0131-\u017E]*+")
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PLACED = "piece bigint, sequence_id bigint, offset bigint"
@@ -41,7 +49,9 @@ TASK_BITS = 24
 def encoder(vocabulary: str):
     """A function from a text to its ids, as little-endian bytes of four each.
 
-    The vocabulary never joins tokens across white space, so words are looked up one by one.
+    The vocabulary divides a text into parts before it looks at them, so the ids of a
+    simple text are those of its parts. Others are encoded word by word: no
+    part reaches across a blank.
     """
     import os
 
@@ -51,25 +61,47 @@ def encoder(vocabulary: str):
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    known: dict[str, bytes] = {}
+    parts: dict[str, bytes] = {}
+
+    def learn(new: list[str]) -> None:
+        """Encode many parts as one text; each of them is one of its words."""
+        encoded = tokenizer.encode(" ".join(new), add_special_tokens=False)
+        ends = np.cumsum(np.bincount(encoded.word_ids, minlength=len(new))) * 4
+        ids, start = np.array(encoded.ids, "<u4").tobytes(), 0
+        for p, end in zip(new, ends.tolist()):
+            parts[p] = ids[start:end]
+            start = end
+
+    def simple(text: str) -> bytes:
+        found = PARTS.findall(text.lower())
+        ids = list(map(parts.get, found))
+        missing = []
+        with contextlib.suppress(ValueError):
+            while True:
+                missing.append(ids.index(None, missing[-1] + 1 if missing else 0))
+        if missing:
+            if len(parts) > CACHE:
+                parts.clear()
+            learn(list({found[i]: None for i in missing}))
+            for i in missing:
+                ids[i] = parts[found[i]]
+        return b"".join(ids)
 
     def encode(text: str) -> bytes:
-        words = text.split()
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        if SIMPLE.fullmatch(text):
+            return simple(text)
+        words = [simple(w) if SIMPLE.fullmatch(w) else other(w) for w in re.split("[ \\t-\\r]+", text)]
+        return b"".join(words)
+
+    def other(word: str) -> bytes:
+        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     return encode
 
 
 def cutter(vocabulary: str, length: int):
     def pieces(batches):
-        encode = encoder(vocabulary)
+        encode = kept_by_worker(f"encoder of {vocabulary}", lambda: encoder(vocabulary))
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
