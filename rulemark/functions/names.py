@@ -54,3 +54,16 @@ def clean_names(*names: str) -> list[str]:
         taken.add(name.lower())
         cleaned.append(name)
     return cleaned
+
+
+def quoted(name: str) -> str:
+    """A column name as an expression that means just this column."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(wanted: str, *taken: list[str]) -> str:
+    """``wanted``, with marks put before it until no column has it."""
+    used = {c.lower() for names in taken for c in names}
+    while wanted.lower() in used:
+        wanted = "_" + wanted
+    return wanted

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rulemark.functions.names import free_name, quoted
+
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Spread a scan with fewer tasks than cores; a wide scan stays as it is."""
@@ -29,7 +31,7 @@ def join_small(
 def row_hash(df: DataFrame) -> Column:
     """A hash of the whole row, the same whenever the row is computed again."""
     hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
+    return F.xxhash64(*[F.col(quoted(c)) for c in hashable])
 
 
 def hot_keys(rows: DataFrame, key: list[str], rows_per_split: int) -> DataFrame:
@@ -65,17 +67,19 @@ def join_per_key(
     for this join and not for what came before it: only then does adaptive
     execution split a partition that is much larger than the others.
     """
+    part_name = free_name("_part", rows.columns, per_key.columns)
     if hot is None:
-        one = F.pmod(F.xxhash64(*key), F.lit(1)).cast("int")
-        left, right = rows.withColumn("_part", one), per_key.withColumn("_part", one)
-        return left.join(right, [*key, "_part"], how).drop("_part")
-    hot = F.broadcast(hot)
-    parts = F.coalesce("_parts", F.lit(1))
+        one = F.pmod(F.xxhash64(*map(quoted, key)), F.lit(1)).cast("int")
+        left, right = rows.withColumn(part_name, one), per_key.withColumn(part_name, one)
+        return left.join(right, [*key, part_name], how).drop(part_name)
+    number = free_name("_parts", rows.columns, per_key.columns)
+    hot = F.broadcast(hot.withColumnRenamed("_parts", number))
+    parts = F.coalesce(number, F.lit(1))
     part = F.pmod(row_hash(rows), parts).cast("int")
-    left = rows.join(hot, key, "left").withColumn("_part", part).drop("_parts")
+    left = rows.join(hot, key, "left").withColumn(part_name, part).drop(number)
     right = (
         per_key.join(hot, key, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_parts")
+        .withColumn(part_name, F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop(number)
     )
-    return left.join(right, [*key, "_part"], how).drop("_part")
+    return left.join(right, [*key, part_name], how).drop(part_name)

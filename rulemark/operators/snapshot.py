@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rulemark.functions.names import free_name, quoted
+
 # Form of a date, rows sampled and share that must be dates.
 DATE_PATTERN = r"\A\p{Nd}{4}[-/.]\p{Nd}{2}[-/.]\p{Nd}{2}\z"
 DATE_SAMPLE_ROWS = 500
@@ -29,51 +31,56 @@ def latest_per_key(
     the number of rows of the key.
     """
     columns = [c for c in columns if c != key]
-    rows = df.filter(F.col(key).isNotNull())
+    rows = df.filter(F.col(quoted(key)).isNotNull())
     backwards = [_reversed(rows, c) for c in tiebreak]
     if any(b is None for b in backwards):
         latest = _latest_by_window(rows, key, columns, date, tiebreak)
         if count_as is None:
             return latest
-        return latest.join(rows.groupBy(key).agg(F.count("*").alias(count_as)), key)
-    content = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
+        return latest.join(rows.groupBy(quoted(key)).agg(F.count("*").alias(count_as)), key)
+    content = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)]
     order = list(backwards)
     if date is not None:
-        undated = F.col(date).isNull()
-        order = [F.col(date)] + [
-            F.when(undated, -b).otherwise(b) for b in backwards
-        ]
+        dates = F.col(quoted(date))
+        # a row without a tie-break loses to rows with one, whatever its type
+        order = [dates] + [F.when(dates.isNull(), -b).otherwise(b) for b in backwards]
     # one partial aggregate per task: a hot key leaves each task as one row
     fields = [*[o.alias(f"o{i}") for i, o in enumerate(order)], *content, F.lit(0).alias("last")]
     aggregates = [F.max(F.struct(*fields)).alias("_best")]
     if count_as is not None:
         aggregates.append(F.count("*").alias(count_as))
-    found = rows.groupBy(key).agg(*aggregates)
+    found = rows.groupBy(quoted(key)).agg(*aggregates)
     best = [F.col(f"_best.c{i}").alias(c) for i, c in enumerate(columns)]
-    return found.select(key, *best, *([count_as] if count_as else []))
+    return found.select(quoted(key), *best, *([count_as] if count_as else []))
 
 
 def _reversed(df: DataFrame, column: str) -> Column | None:
     """A number that falls as the column rises; None if the type has none."""
-    kind = df.schema[column].dataType
+    kind, value = df.schema[column].dataType, F.col(quoted(column))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(F.col(column).cast("timestamp"))
+        return -F.unix_micros(value.cast("timestamp"))
     if isinstance(kind, T.DateType):
-        return -F.unix_date(column)
+        return -F.unix_date(value)
+    if isinstance(kind, T.LongType):
+        return -value.cast("decimal(20,0)")  # the smallest number has no opposite among longs
+    if isinstance(kind, T.IntegralType):
+        return -value.cast("bigint")
     if isinstance(kind, T.NumericType):
-        return -F.col(column)
+        return -value
     return None
 
 
 def _latest_by_window(df, key, columns, date, tiebreak):
-    first, last = [F.col(c).asc() for c in tiebreak], []
+    ties = [F.col(quoted(c)) for c in tiebreak]
+    first, last = [c.asc_nulls_last() for c in ties], []
     if date is not None:
-        dated = F.col(date).isNotNull()
-        last = [F.when(~dated, F.col(c)).desc() for c in tiebreak]
-        first = [F.col(date).desc_nulls_last()] + [F.when(dated, F.col(c)).asc() for c in tiebreak]
-    content = [F.col(c).desc() for c in columns]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*first, *last, *content))
-    return df.withColumn("_rank", rank).filter("_rank = 1").select(key, *columns)
+        dated = F.col(quoted(date)).isNotNull()
+        last = [F.when(~dated, c).desc_nulls_last() for c in ties]
+        first = [F.col(quoted(date)).desc_nulls_last()] + [F.when(dated, c).asc_nulls_last() for c in ties]
+    content = [F.col(quoted(c)).desc() for c in columns]
+    rank = F.row_number().over(Window.partitionBy(quoted(key)).orderBy(*first, *last, *content))
+    name = free_name("_rank", df.columns)
+    return df.withColumn(name, rank).filter(F.col(name) == 1).select(*map(quoted, [key, *columns]))
 
 
 def date_shares(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rulemark.functions.names import free_name, quoted
 from rulemark.operators.skew import join_per_key
 
 
@@ -19,16 +20,15 @@ def update_from(
     see ``skew.hot_keys``.
     """
     columns = [c for c in columns if c != key]
-    new = source.select(
-        key, F.lit(True).alias("_found"), *[F.col(c).alias(f"_s{i}") for i, c in enumerate(columns)]
-    )
+    found = free_name("_found", target.columns)
+    copies = {c: free_name(f"_s{i}", target.columns) for i, c in enumerate(columns)}
+    new = source.select(quoted(key), F.lit(True).alias(found), *[F.col(quoted(c)).alias(n) for c, n in copies.items()])
     joined = join_per_key(target, new, [key], "left", hot)
-    position = {c: i for i, c in enumerate(columns)}
     return joined.select(
         *[
-            F.when(F.col("_found"), F.col(f"_s{position[c]}")).otherwise(F.col(c)).alias(c)
-            if c in position
-            else F.col(c)
+            F.when(F.col(found), F.col(copies[c])).otherwise(F.col(quoted(c))).alias(c)
+            if c in copies
+            else F.col(quoted(c))
             for c in target.columns
         ]
     )
@@ -36,18 +36,18 @@ def update_from(
 
 def missing_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Source rows whose key the target lacks, among them rows without a key."""
-    return source.join(target.select(key).distinct(), key, "left_anti")
+    return source.join(target.select(quoted(key)).distinct(), key, "left_anti")
 
 
 def insert_missing(target: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Append ``columns`` of the source rows whose key the target lacks."""
-    added = missing_rows(source, target, key).select(*columns)
+    added = missing_rows(source, target, key).select(*map(quoted, columns))
     return target.unionByName(added, allowMissingColumns=True)
 
 
 def delete_missing(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Keep target rows whose key the source has; rows without a key go."""
-    return target.join(source.select(key).distinct(), key, "left_semi")
+    return target.join(source.select(quoted(key)).distinct(), key, "left_semi")
 
 
 def sync_tables(target: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:

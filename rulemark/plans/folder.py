@@ -19,8 +19,8 @@ from rulemark.options import FolderOptions, LabelOptions
 from rulemark.plans.label import carry_back
 from rulemark.sources.dictionary import ORDER, get_dictionary
 from rulemark.sources.export import Export, export_csv
-from rulemark.sources.files import FILE, ROW, first_file, read_files, read_folder, read_header
-from rulemark.sources.storage import delete_folder, materialize
+from rulemark.sources.files import FILE, LOAD_ORDER, PART, first_file, read_files, read_folder, read_header
+from rulemark.sources.storage import delete_folder, detached, materialize
 
 # columns of a resolved snapshot beside the id, the searched columns and the labels
 ROWS, DELETED = "_rows", "_is_deleted"
@@ -43,7 +43,8 @@ def choose_date_column(spark: SparkSession, options: FolderOptions, folder: str)
     header = read_header(spark, sample, options.read)
     names = clean_names(*header)
     preferred = dict(zip(header, names)).get(options.date_column, options.date_column)
-    first = read_files(spark, sample, names, options.read).drop(FILE, ROW)
+    # the rows of its first part, in which they are read in order
+    first = read_files(spark, sample, names, options.read).filter(F.col(PART) == 0).drop(FILE, *LOAD_ORDER)
     return detect_date_column(first, preferred)
 
 
@@ -106,7 +107,7 @@ def label_folder(
     base = base.rstrip("/")
     folder = f"{base}/{options.import_folder}"
     data = read_folder(spark, folder, options.data_extension, options.read)
-    columns = [c for c in data.columns if c not in (FILE, ROW)]
+    columns = [c for c in data.columns if c not in (FILE, *LOAD_ORDER)]
     date_column = choose_date_column(spark, options, folder)
     id_column = clean_names(options.id_column)[0]
     if id_column not in columns:
@@ -116,17 +117,21 @@ def label_folder(
         spark, f"{base}/{options.dict_folder}", options.dict_name, options.dict_extension, options.read
     )
     rules = compile_rules(dictionary, columns, ORDER, options.label)
-    used = [id_column, *rules.search_columns, *([date_column] if date_column else []), ROW]
+    used = [id_column, *rules.search_columns, *([date_column] if date_column else []), *LOAD_ORDER]
     read = Observation()
     counted = data.select(*dict.fromkeys(used)).observe(read, F.count(F.lit(1)).alias("rows"))
-    snapshot = resolved_snapshot(counted, rules, id_column, date_column, (ROW,))
-    state, state_path = materialize(snapshot, "snapshot")
+    snapshot = resolved_snapshot(counted, rules, id_column, date_column, LOAD_ORDER)
+    paths = list(rules.stored)
     try:
+        state, state_path = materialize(snapshot, "snapshot")
+        paths.append(state_path)
         kept = state.filter(~F.col(DELETED))
         unmapped = unmapped_rows(kept, rules.search_columns, rules.label_columns, options.label.unmapped_mode)
         null_data = export_csv(unmapped, base, "null_data", options.write, at)
         rows = labelled_rows(data.select(*columns), state, rules, id_column)
         labelled = export_csv(rows, f"{base}/{options.export_folder}", options.table_name, options.write, at)
+        rejected = detached(rules.rejected) if rules.stored else rules.rejected
     finally:
-        delete_folder(spark, state_path)
-    return FolderResult(read.get["rows"], labelled, null_data, date_column, rules.rejected)
+        for path in paths:
+            delete_folder(spark, path)
+    return FolderResult(read.get["rows"], labelled, null_data, date_column, rejected)

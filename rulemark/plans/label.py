@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulemark.errors import SettingsError
+from rulemark.functions.names import free_name, quoted
 from rulemark.operators.actions import resolve, tag_table
 from rulemark.operators.compiled import CompiledRules
 from rulemark.operators.matching import match_rules, with_payload
@@ -58,28 +59,29 @@ def carry_back(
     ``broadcast`` is for a ``resolved`` measured to be small, ``hot`` splits
     frequent ids (``skew.join_per_key``).
     """
-    per_id = _by_id(resolved, id_column)
-    rows = data.filter(F.col(id_column).isNotNull())
+    deleted = free_name("_is_deleted", data.columns, resolved.columns)
+    per_id = _by_id(resolved, id_column, deleted)
+    rows = data.filter(F.col(quoted(id_column)).isNotNull())
     if broadcast:
         joined = rows.join(F.broadcast(per_id), id_column, "left")
     else:
         joined = join_per_key(rows, per_id, [id_column], "left", hot)
-    labelled = _undeleted(joined).select(*data.columns, *rules.label_columns)
+    labelled = _undeleted(joined, deleted).select(*map(quoted, [*data.columns, *rules.label_columns]))
     if not rules.options.keep_null_ids:
         return labelled
-    without = data.filter(F.col(id_column).isNull())
+    without = data.filter(F.col(quoted(id_column)).isNull())
     return labelled.unionByName(
         without.withColumns({c: F.lit(None).cast("string") for c in rules.label_columns})
     )
 
 
-def _by_id(resolved: DataFrame, id_column: str) -> DataFrame:
+def _by_id(resolved: DataFrame, id_column: str, deleted: str) -> DataFrame:
     # the data may have a column is_deleted of its own
-    return resolved.withColumnsRenamed({"id": id_column, "is_deleted": "_is_deleted"})
+    return resolved.withColumnsRenamed({"id": id_column, "is_deleted": deleted})
 
 
-def _undeleted(rows: DataFrame) -> DataFrame:
-    return rows.filter(~F.coalesce("_is_deleted", F.lit(False)))
+def _undeleted(rows: DataFrame, deleted: str) -> DataFrame:
+    return rows.filter(~F.coalesce(deleted, F.lit(False)))
 
 
 def label_table(
@@ -96,7 +98,8 @@ def label_table(
     paid = with_payload(hits, rules)
     resolved = resolve(paid, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
     # both have one row per id and are partitioned by it
-    labelled_snapshot = _undeleted(snapshot.join(_by_id(resolved, id_column), id_column, "left"))
+    deleted = free_name("_is_deleted", snapshot.columns, resolved.columns)
+    labelled_snapshot = _undeleted(snapshot.join(_by_id(resolved, id_column, deleted), id_column, "left"), deleted)
     # counting the ids costs a scan: only where adaptive execution does not split
     hot = None
     if options.hot_id_rows and not adaptive_split(data):

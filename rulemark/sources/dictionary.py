@@ -11,11 +11,11 @@ from rulemark.errors import RuleError, SettingsError
 from rulemark.functions.names import clean_names
 from rulemark.options import ReadOptions, WriteOptions
 from rulemark.sources.export import csv_writer
-from rulemark.sources.files import FILE, ROW, list_files, read_files, read_header
+from rulemark.sources.files import FILE, LOAD_ORDER, list_files, read_files, read_header
 
 SORT_COLUMN = "search_column_idx"
 #: Columns that give the order of rules read from files.
-ORDER = [FILE, ROW]
+ORDER = [FILE, *LOAD_ORDER]
 
 
 def read_dictionary(spark: SparkSession, path: str, options: ReadOptions = ReadOptions()) -> DataFrame:

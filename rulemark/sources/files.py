@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +14,9 @@ from rulemark.functions.names import clean_names
 from rulemark.options import ReadOptions
 
 BOM = "\ufeff"
-#: Load order of a row: greater within a file the later the row comes.
-ROW = "_src_row"
+#: Load order: the place of the file among all by path, the part of the file, and a
+#: number that is greater within the part the later the row comes.
+RANK, PART, ROW = LOAD_ORDER = ("_src_rank", "_src_part", "_src_row")
 FILE = "_src_file"
 #: Stands for a quoted empty field while reading, to tell it from a missing one.
 QUOTED_EMPTY = "\u0001\u0001"
@@ -86,7 +87,8 @@ def read_files(
 ) -> DataFrame:
     """All files at ``location`` as text columns ``names``, by position.
 
-    ``_src_file`` and ``_src_row`` give the load order.
+    ``_src_rank``, ``_src_part`` and ``_src_row`` give the load order, whatever the tasks
+    the files are read in.
     """
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if options.skip_rows:
@@ -98,9 +100,27 @@ def read_files(
             .option("emptyValue", QUOTED_EMPTY)
             .schema(schema)
             .csv(location)
-            .select("*", F.col("_metadata.file_path").alias(FILE), F.monotonically_increasing_id().alias(ROW))
+            .select(
+                "*",
+                F.col("_metadata.file_path").alias(FILE),
+                F.col("_metadata.file_block_start").alias(PART),
+                F.monotonically_increasing_id().alias(ROW),
+            )
         )
-    return raw.select(*[restore_empty(n) for n in names], FILE, ROW)
+    ranked = _ranked(spark, raw, location, reader_options)
+    return ranked.select(*[restore_empty(n) for n in names], FILE, *LOAD_ORDER)
+
+
+def _ranked(spark: SparkSession, rows: DataFrame, location: str, reader_options: dict) -> DataFrame:
+    """Add the place of each row's file. The listing is broadcast up to ``_MANY_FILES`` files."""
+    files = spark.read.format("binaryFile").options(**reader_options).load(location)
+    files = files.select(F.col("_metadata.file_path").alias("path"))
+    # one task orders the listing, which the driver holds anyway
+    order = Window.orderBy("path")
+    ranks = files.select(F.col("path").alias(FILE), F.row_number().over(order).cast("bigint").alias(RANK))
+    if files.count() <= _MANY_FILES:
+        ranks = F.broadcast(ranks)
+    return rows.join(ranks, FILE, "left")
 
 
 def restore_empty(name: str):
@@ -132,7 +152,8 @@ def _read_skipping(spark, location, schema, options, reader_options) -> DataFram
     kept = lines.filter(F.col("_line").isNull() | (F.col("_line") >= skipped)).filter(F.length(F.trim("value")) > 0)
     parse = {k: str(v) for k, v in csv_options(options).items() if k not in ("encoding", "multiLine", "inferSchema")}
     parsed = F.from_csv("value", F.lit(schema.simpleString()[7:-1].replace(":", " ")), {**parse, "emptyValue": QUOTED_EMPTY})
-    return kept.select(parsed.alias("r"), FILE, ROW).select("r.*", FILE, ROW)
+    rows = kept.select(parsed.alias("r"), FILE, F.col("_block").alias(PART), ROW)
+    return rows.select("r.*", FILE, PART, ROW)
 
 
 def read_folder(

@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rulemark.errors import SettingsError
+from rulemark.functions.names import quoted
+from rulemark.operators.actions import resolve
 from rulemark.operators.compiled import CompiledRules
+from rulemark.operators.matching import match_rules, with_payload
+from rulemark.operators.snapshot import latest_per_key
 from rulemark.options import ReadOptions
-from rulemark.plans.label import label_table
+from rulemark.plans.label import carry_back
 from rulemark.sources.files import QUOTED_EMPTY, csv_options, restore_empty
 
+#: Tables below the output of a stream, one folder per batch.
+ROWS, SNAPSHOT, LABELS = "rows", "snapshot", "labels"
+
 
 def stream_folder(
     spark: SparkSession,
@@ -47,17 +55,45 @@ def label_stream(
     tiebreak: tuple[str, ...] = (),
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Label every micro-batch by itself and write it to ``output/batch=<n>``.
+    """Label arriving rows by the latest row of their id over all batches.
 
-    A batch that is run again after a failure overwrites its own folder, so each
-    row is written once. The latest row of an id is the latest of its batch.
+    Every batch adds a folder to three tables below ``output``: ``rows`` as they came,
+    ``snapshot`` with the latest row so far of each id in the batch, and ``labels`` of
+    those ids. ``labelled_so_far`` puts them together, so what a row gets does not depend on how
+    the files fell into batches. A batch that is run again after a failure reads
+    the batches before it and overwrites its own folders.
     """
+    kept = list(dict.fromkeys([id_column, *rules.search_columns, *([date_column] if date_column else []), *tiebreak]))
 
     def label(batch: DataFrame, number: int) -> None:
-        labelled = label_table(batch, rules, id_column, date_column, tiebreak).labelled
-        labelled.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{output}/{ROWS}/batch={number}")
+        rows = spark.read.schema(batch.schema).parquet(f"{output}/{ROWS}/batch={number}")
+        new = rows.select(*map(quoted, kept)).filter(F.col(quoted(id_column)).isNotNull())
+        if number:
+            schema = T.StructType([*new.schema.fields, T.StructField("batch", T.IntegerType())])
+            before = spark.read.schema(schema).parquet(f"{output}/{SNAPSHOT}").filter(F.col("batch") < number).drop("batch")
+            new = new.unionByName(before.join(new.select(quoted(id_column)).distinct(), id_column, "left_semi"))
+        # The latest of the latest rows is the latest row: the order is total.
+        latest_per_key(new, id_column, kept, date_column, tiebreak).write.mode("overwrite").parquet(f"{output}/{SNAPSHOT}/batch={number}")
+        snapshot = spark.read.schema(new.schema).parquet(f"{output}/{SNAPSHOT}/batch={number}")
+        hits = with_payload(match_rules(snapshot, id_column, rules), rules)
+        options = rules.options
+        found = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
+        ids = snapshot.select(F.col(quoted(id_column)).alias("id")).join(found, "id", "left")
+        ids.write.mode("overwrite").parquet(f"{output}/{LABELS}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(label).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def labelled_so_far(spark: SparkSession, output: str, rules: CompiledRules, id_column: str) -> DataFrame:
+    """All rows that have arrived at ``output``, with the labels their ids have now."""
+    labels = [F.col(quoted(c)) for c in rules.label_columns]
+    state = F.max(F.struct("batch", "is_deleted", *[c.alias(f"l{i}") for i, c in enumerate(labels)])).alias("state")
+    now = spark.read.parquet(f"{output}/{LABELS}").groupBy("id").agg(state)
+    names = [F.col(f"state.l{i}").alias(c) for i, c in enumerate(rules.label_columns)]
+    per_id = now.select("id", F.col("state.is_deleted").alias("is_deleted"), *names)
+    return carry_back(spark.read.parquet(f"{output}/{ROWS}").drop("batch"), per_id, rules, id_column)

@@ -8,10 +8,11 @@ from conftest import rows
 from interpreter import hits, labels
 from rulemark.errors import RuleError, SettingsError
 from rulemark.operators.compiled import compile_rules
+from rulemark.operators.snapshot import latest_per_key
 from rulemark.options import FolderOptions, LabelOptions, ReadOptions, WriteOptions
 from rulemark.plans.folder import label_folder
 from rulemark.sources import dictionary, export, files, storage
-from rulemark.streaming.label_stream import label_stream, stream_folder
+from rulemark.streaming.label_stream import label_stream, labelled_so_far, stream_folder
 
 TRICKY = [
     ("1", "plain", None), ("2", "", " both "), ("3", 'say "hi"', "a;b"), ("4", "two\nlines", "\ttab"), ("5", None, "кот"),
@@ -40,7 +41,7 @@ def test_round_trip(spark, tmp_path, compression):
     assert len(found) == 3 and all(f.endswith(export.file_suffix(compression)) for f in found)
     extension = found[0].rsplit(".", 1)[1]
     back = files.read_folder(spark, done.path, extension)
-    assert back.columns == ["id", "a", "b", files.FILE, files.ROW]
+    assert back.columns == ["id", "a", "b", files.FILE, *files.LOAD_ORDER]
     assert rows(back.select("id", "a", "b")) == sorted(TRICKY, key=repr)
 
 
@@ -211,14 +212,52 @@ def test_stream(spark, tmp_path):
         stream = stream_folder(spark, folder, COLUMNS, files_per_batch=1)
         query = label_stream(stream, rules, "AdId", str(tmp_path / "out"), str(tmp_path / "state"), "day")
         query.awaitTermination(120)
-        return rows(spark.read.parquet(str(tmp_path / "out")).select("AdId", "cat", "batch"))
+        return rows(labelled_so_far(spark, str(tmp_path / "out"), rules, "AdId").select("AdId", "cat"))
 
-    assert run() == [("1", "SHOP", 0)]
+    assert run() == [("1", "SHOP")]
     write(f"{folder}/2.csv", head + "1;2024-01-02;none;SMARTPHONE;m\n")
     write(f"{folder}/3.csv", head + '3;2024-01-02;none;"";m\n')
-    assert run() == [("1", "PHONES", 1), ("1", "SHOP", 0), ("3", None, 2)]
-    out = spark.read.parquet(str(tmp_path / "out"))
+    assert run() == [("1", "PHONES"), ("1", "PHONES"), ("3", None)]
+    out = labelled_so_far(spark, str(tmp_path / "out"), rules, "AdId")
     assert out.filter("AdId = '3'").first()["article"] == ""
     with pytest.raises(SettingsError):
         stream_folder(spark, folder, COLUMNS, options=ReadOptions(skip_rows=1))
-    assert run() == [("1", "PHONES", 1), ("1", "SHOP", 0), ("3", None, 2)]
+    assert run() == [("1", "PHONES"), ("1", "PHONES"), ("3", None)]
+
+
+def compiled_rules(spark):
+    raw = spark.createDataFrame(RULES, "n int, action string, match string, search string, note string, term string, cat string, tags string")
+    return compile_rules(raw, COLUMNS, ["n"])
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 100])
+def test_stream_does_not_depend_on_batches(spark, tmp_path, files_per_batch):
+    """A later deletion, a later date and an older row that comes late."""
+    folder, head = str(tmp_path / "in"), "AdId;day;brand;article;media\n"
+    write(f"{folder}/1.csv", head + "1;2024-01-01;OZON;MARKET PHONE;m\n2;2024-01-03;none;SMARTPHONE;m\n3;2024-01-01;none;SMARTPHONE;m\n")
+    write(f"{folder}/2.csv", head + "1;2024-01-02;DELETE ME;x;m\n2;2024-01-01;DELETE ME;x;m\n")
+    write(f"{folder}/3.csv", head + "3;2024-01-02;OZON;MARKET PHONE;m\n")
+    rules = compiled_rules(spark)
+    stream = stream_folder(spark, folder, COLUMNS, files_per_batch=files_per_batch)
+    label_stream(stream, rules, "AdId", str(tmp_path / "out"), str(tmp_path / "state"), "day").awaitTermination(120)
+    found = rows(labelled_so_far(spark, str(tmp_path / "out"), rules, "AdId").select("AdId", "day", "cat"))
+    assert found == [
+        ("2", "2024-01-01", "PHONES"), ("2", "2024-01-03", "PHONES"), ("3", "2024-01-01", "SHOP"), ("3", "2024-01-02", "SHOP"),
+    ]
+
+
+@pytest.mark.parametrize("size", ["64", "128m"])
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_first_loaded_wins_across_files(spark, tmp_path, size, multi_line):
+    """Whatever the size of the files and the tasks they are read in."""
+    folder, head = f"{tmp_path}/a folder", "id;v\n"
+    write(f"{folder}/a.csv", head + "1;red\n")
+    write(f"{folder}/b.csv", head + "1;blue\n" + "".join(f"{i};x\n" for i in range(2, 60)) + "2;y\n1;green\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        data = files.read_folder(spark, folder, options=ReadOptions(multi_line=multi_line))
+        found = dict(rows(latest_per_key(data, "id", ["v"], None, files.LOAD_ORDER)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found["1"] == "red" and found["2"] == "x"
