@@ -51,6 +51,25 @@ def test_parts_of_a_page(spark):
     assert extracted(spark, [page])[0] == "Head & line\n\nOne two three\n\nFour five six\n\nitem\n\nother <b> é"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><script>if (a<b) { c() }</script><article><p>Text</p></article>",
+        "<body><script>s = '<!-- x'</script><article><p>Text</p></article>",
+        "<body><style>a>b{content:'<p>'}</style><article>Te<SCRIPT>'</p>'</Script >xt</article>",
+        "<body class='has-sidebar menu'><div class='with-nav no-ads'><article id='comment'><p>Text</p></article></div>",
+        "<article><p>Text</p><script>never closed <p>no</p></article>",
+    ],
+)
+def test_scripts_and_names_that_look_like_markup(page):
+    assert html_text.main_text(page, frozenset()) == "Text"
+
+
+def test_headings_keep_their_anchors():
+    page = "<article><h2 id='search'>Search</h2><p>by a &lt; b</p><div id='comments'>reader</div></article>"
+    assert html_text.main_text(page, frozenset()) == "Search\n\nby a < b"
+
+
 def test_templates_where_there_is_no_article(spark):
     rng = random.Random(1)
     texts = [" ".join(rng.choice("abcdefgh") * 4 for _ in range(9)) for _ in range(12)]
