@@ -94,7 +94,7 @@ def match_many_rules(spark, sf):
 @query(MANY_SQL)
 def match_many_rules_shuffled(spark, sf):
     """The same with a dictionary taken for too large to broadcast."""
-    return _many(spark, sf, probe_limit=0, broadcast_bytes=0, salts=8)
+    return _many(spark, sf, probe_limit=0, broadcast_bytes=0)
 
 
 MIXED = [rule(1, "a", "p", 0, "gear", "x"), rule(2, "r", "fts", 0, "red bolt", "y"), rule(3, "d", "fts", 0, "(widget OR anvil)", None), rule(4, "a", "s", 0, "red", "z")]

@@ -154,6 +154,8 @@ def unmapped_rows(spark, sf):
     return sync.unmapped_rows(part, ["p_brand", "p_type"], ["a", "b"])
 
 
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
 # --- files ---------------------------------------------------------------------------
 
 
@@ -185,3 +187,25 @@ def export_chunks(spark, sf):
     done = export_csv(lines, new_folder(spark, "chunks"), "lines", WriteOptions(chunk_size=1000, compression="bz2"))
     sizes = read_folder(spark, done.path, "bz2").groupBy(FILE).agg(F.count("*").alias("n"))
     return sizes.agg(F.sum("n").alias("n"), (F.max("n") <= 1000).alias("in_bounds"))
+
+
+@query("SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LINE_KEYS) + " FROM lineitem")
+def export_chunk_rows(spark, sf):
+    """The rows of all those files."""
+    lines = table(spark, sf, "lineitem").select(*LINE_KEYS)
+    done = export_csv(lines, new_folder(spark, "chunks"), "lines", WriteOptions(chunk_size=1000, compression="bz2"))
+    return read_folder(spark, done.path, "bz2").select(*LINE_KEYS)
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS custkey, c_name AS name FROM customer WHERE c_custkey % 3 <> 0")
+def csv_skip_rows(spark, sf):
+    """Files that begin with two lines of remarks before the header."""
+    folder = new_folder(spark, "skipped")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    for i in (1, 2):
+        part = customers.filter(F.col("c_custkey") % 3 == i)
+        # one file, as its first lines are not like the others
+        head = spark.createDataFrame([(-3, "report; of customers"), (-2, "made by hand"), (-1, "custkey;name")], "n bigint, value string")
+        lines = head.unionByName(part.select(F.col("c_custkey").alias("n"), F.concat_ws(";", "c_custkey", "c_name").alias("value")))
+        lines.repartition(1).sortWithinPartitions("n").select("value").write.option("compression", "gzip").text(f"{folder}/{i}")
+    return read_folder(spark, folder, "gz", ReadOptions(skip_rows=2, include_subfolders=True)).select("custkey", "name")

@@ -64,6 +64,20 @@ def fts_near(spark, sf):
     return match_rules(documents(spark, sf), "doc_id", compiled(spark, rules, ["tag"], ["text"]))
 
 
+FAR = [("license", "apache", 600), ("version", "idiot", 2000), ("benchmark", "the", 900)]
+
+
+@query(
+    f"WITH s AS (SELECT doc_id AS id, {tokens_sql('text')} AS t FROM documents), "
+    "w AS (SELECT id, unnest(t) AS word, generate_subscripts(t, 1) AS at FROM s) "
+    + " UNION ALL ".join(f"SELECT id, CAST({i} AS INT) AS rule_id FROM ({near(*n)})" for i, n in enumerate(FAR, 1))
+)
+def fts_near_far(spark, sf):
+    """Words some hundreds of words apart."""
+    rules = [rule(i, "a", "fts", 0, f"NEAR({a} {b}, {n})", "x") for i, (a, b, n) in enumerate(FAR, 1)]
+    return match_rules(documents(spark, sf), "doc_id", compiled(spark, rules, ["tag"], ["text"]))
+
+
 @query(
     f"""WITH c AS (SELECT conv_id || '-' || turn AS id, {padded_sql('role')} AS r, {padded_sql('text')} AS t FROM conversations)
     SELECT id, CAST(1 AS INT) AS rule_id FROM c WHERE {has(' user ').replace('(t', '(r')} AND {has(' the ')}

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rulemark.functions.names import free_name, quoted
 from rulemark.operators.rules import ADD, DELETE, REPLACE
 
 TEXT_LIST = "array<string>"
@@ -39,29 +40,36 @@ def resolve(
     REPLACE: per label the value of the last rule that has one. ADD: the sorted
     distinct tags, in place of that value ("tags") or added to it ("append").
     """
+    found = _gather(hits, label_columns, actions)
+    final = [
+        _written(F.col(f"r{i}"), F.col(f"t{i}"), separator, add_mode).alias(c) for i, c in enumerate(label_columns)
+    ]
+    return found.select("id", "is_deleted", *final)
+
+
+def _gather(hits: DataFrame, label_columns: list[str], actions: Iterable[str]) -> DataFrame:
+    """``id, is_deleted``, and of each label ``r<i>``, what it is replaced by, and ``t<i>``, its tags."""
     aggregates = [F.max(F.col("action") == DELETE).alias("is_deleted")]
+    unused = []
     for i, name in enumerate(label_columns):
         value = _label(name)
         if REPLACE in actions:
             replaces = (F.col("action") == REPLACE) & value.isNotNull()
             aggregates.append(F.max_by(value, F.when(replaces, F.col("rule_id"))).alias(f"r{i}"))
+        else:
+            unused.append(F.lit(None).cast("string").alias(f"r{i}"))
         if ADD in actions:
             adds = (F.col("action") == ADD) & (value != "")
             aggregates.append(F.collect_set(F.when(adds, value)).alias(f"t{i}"))
+        else:
+            unused.append(F.array().cast(TEXT_LIST).alias(f"t{i}"))
+    return hits.groupBy("id").agg(*aggregates).select("*", *unused)
 
-    def final(i: int) -> Column:
-        replaced = F.col(f"r{i}") if REPLACE in actions else F.lit(None).cast("string")
-        if ADD not in actions:
-            return replaced
-        tags = F.col(f"t{i}")
-        merged = merge_tags(tags, separator, replaced if add_mode == "append" else None)
-        return F.when(F.size(tags) > 0, merged).otherwise(replaced)
 
-    return (
-        hits.groupBy("id")
-        .agg(*aggregates)
-        .select("id", "is_deleted", *[final(i).alias(c) for i, c in enumerate(label_columns)])
-    )
+def _written(current: Column, tags: Column, separator: str, add_mode: str) -> Column:
+    """A label after ADD: its tags, if any, over ("tags") or into ("append") the current value."""
+    merged = merge_tags(tags, separator, current if add_mode == "append" else None)
+    return F.when(F.size(tags) > 0, merged).otherwise(current)
 
 
 # --- one action at a time ------------------------------------------------------------
@@ -161,7 +169,18 @@ def apply_actions(
     separator: str = ", ",
     add_mode: str = "tags",
 ) -> DataFrame:
-    """DELETE, then REPLACE, then ADD, all with the hits found beforehand."""
-    kept = apply_delete(rows, key, hits)
-    replaced = apply_replace(kept, key, hits, label_columns)
-    return apply_add(replaced, key, hits, label_columns, separator, add_mode)
+    """DELETE, then REPLACE, then ADD, as one aggregation of the hits and one join."""
+    found = _gather(hits, label_columns, (ADD, REPLACE, DELETE))
+    names = {c: free_name(f"_{c}", rows.columns) for c in found.columns if c != "id"}
+    found = found.select(F.col("id").alias(key), *[F.col(c).alias(n) for c, n in names.items()])
+    joined = rows.join(found, key, "left").filter(~F.coalesce(names["is_deleted"], F.lit(False)))
+    position = {c: i for i, c in enumerate(label_columns)}
+
+    def after(name: str) -> Column:
+        current = F.col(quoted(name))
+        if name not in position:
+            return current
+        i = position[name]
+        return _written(F.coalesce(names[f"r{i}"], current), F.col(names[f"t{i}"]), separator, add_mode)
+
+    return joined.select(*[after(c).alias(c) for c in rows.columns])

@@ -17,6 +17,8 @@ from rulemark.sources.storage import delete_folder, materialize
 #: Dictionaries up to this size are compiled once and kept as a local table.
 LOCAL_RULES = 10_000
 LOCAL_BYTES = 4 * 1024 * 1024
+#: and terms up to this: a term has an option for each of its characters, some 16 times its size.
+LOCAL_TERMS = 1024 * 1024
 #: Columns of resolved ids beside the labels.
 RESERVED = {"id", "is_deleted"}
 
@@ -67,9 +69,11 @@ def compile_rules(
     control, payload = r.split_columns(names, at)
     action, match = (F.col(f"`{c}`").cast("string") for c in control[:2])
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in names), F.lit(64))
+    term = F.coalesce(F.octet_length(F.col(f"`{control[3]}`").cast("string")), F.lit(0))
     seen = raw.agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(term), F.lit(0)).alias("terms"),
         *[F.coalesce(F.max(action == a), F.lit(False)).alias(a) for a in (r.ADD, r.REPLACE, r.DELETE)],
         F.coalesce(F.max(match == r.TEXT), F.lit(False)).alias("text"),
         F.coalesce(F.max(match != r.TEXT), F.lit(False)).alias("like"),
@@ -80,7 +84,7 @@ def compile_rules(
     if RESERVED & {c.lower() for c in label_columns}:
         raise RuleError(f"label columns cannot be named {sorted(RESERVED)}: {label_columns}")
 
-    small = seen["n"] <= LOCAL_RULES and seen["bytes"] <= LOCAL_BYTES
+    small = seen["n"] <= LOCAL_RULES and seen["bytes"] <= LOCAL_BYTES and seen["terms"] <= LOCAL_TERMS
     stored: list[str] = []
 
     def keep(df: DataFrame) -> DataFrame:

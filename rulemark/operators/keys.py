@@ -28,6 +28,8 @@ from rulemark.operators.rules import ENDS, FULL, STARTS
 EDGE_SIZES = (16, 8, 4, 2, 1)
 GRAM_SIZES = (3, 2, 1)
 PREFIX_SIZES = (8, 4, 2, 1)
+#: Keys counted to find the rarest, a bound of what is broadcast for it.
+COUNTED = 100_000
 
 OPTION = "struct<alternative:int,class:string,key:string>"
 CLAUSE = ["rule_id", "clause_no", "n_clauses", "column_name", "kind", "needle",
@@ -147,15 +149,17 @@ def token_clauses(clauses: DataFrame) -> DataFrame:
 def choose_keys(clauses: DataFrame, n_rules: int) -> DataFrame:
     """One row per clause and key, with the rarest option of each alternative as key.
 
-    Only options shared by more than a thousandth of the rules are counted, so
-    the count table stays below 1000 times the options per rule and is broadcast.
+    Only options shared by more than a thousandth of the rules are counted, and by
+    more than one of ``COUNTED`` parts of all options: the count table has fewer than
+    ``COUNTED`` rows, whatever the length of the terms, and is broadcast.
     """
     options = clauses.select("rule_id", "clause_no", "column_name", F.explode("options").alias("o")).select(
         "rule_id", "clause_no", "column_name", "o.*"
     )
     by_key = ["column_name", "class", "key"]
     frequent = options.groupBy(*by_key).agg(F.count("*").alias("n"))
-    frequent = frequent.filter(F.col("n") > F.lit(n_rules // 1000))
+    share = frequent.agg(F.sum("n")).scalar() / F.lit(COUNTED)
+    frequent = frequent.filter((F.col("n") > F.lit(n_rules // 1000)) & (F.col("n") > share))
     rank = F.struct(
         F.coalesce("n", F.lit(0)), F.col("class").startswith("x"), F.xxhash64("key"), F.col("key")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rulemark.functions import text
 from rulemark.operators import keys
 from rulemark.operators.compiled import CompiledRules
-from rulemark.operators.skew import adaptive_split, hot_keys, join_per_key, join_small
+from rulemark.operators.skew import join_many, join_small
 
 TEXT_CLASSES = ("t", "x")
 
@@ -64,19 +64,33 @@ def _near(items: Column, padded: Column, distance: Column) -> Column:
     """Do all items occur with at most ``distance`` tokens between first and last?
 
     True if there is a place such that every item of n tokens starts there or at
-    most n + distance tokens before, that is lies in the words around it.
+    most n + distance tokens before. The starts of all items are passed once in
+    order, with the last start of each item at hand, so the time does not grow
+    with the distance.
     """
     words = F.split(F.trim(F.ltrim(padded, F.lit(text.START))), " ")
-
-    def around(words: Column, place: Column, item: Column) -> Column:
-        n = F.size(F.split(F.trim(item), " "))
-        first = F.greatest(F.lit(1), place - n - distance)
-        run = F.array_join(F.slice(words, first, place + n - first), " ")
-        return F.contains(F.concat(F.lit(" "), run, F.lit(" ")), item)
+    never = F.lit(-(1 << 31)).cast("bigint")
+
+    def starts(words: Column, item: Column, number: Column) -> Column:
+        parts = F.split(F.trim(item), " ")
+        n, first, closed = F.size(parts), F.element_at(parts, 1), item.endswith(" ")
+        run = lambda p: F.concat(F.lit(" "), F.array_join(F.slice(words, p, n), " "), F.lit(" "))
+        whole = lambda p: F.element_at(words, p) == first
+        # words that cannot begin the item are told by the first word alone
+        begins = lambda p: F.when(closed | (n > 1), whole(p)).otherwise(F.element_at(words, p).startswith(first))
+        places = F.filter(F.sequence(F.lit(1), F.size(words)), lambda p: begins(p) & F.startswith(run(p), item))
+        return F.transform(places, lambda p: F.struct(p.cast("bigint").alias("place"), number.alias("item")))
+
+    def passed(state: Column, start: Column) -> Column:
+        place = start["place"]
+        last = F.transform(state["last"], lambda v, i: F.when(i == start["item"], place).otherwise(v))
+        reach = F.zip_with(last, items, lambda at, item: at >= place - F.size(F.split(F.trim(item), " ")) - distance)
+        return F.struct(last.alias("last"), (state["found"] | F.forall(reach, lambda ok: ok)).alias("found"))
 
     def holds(words: Column) -> Column:
-        places = F.sequence(F.lit(1), F.size(words))
-        return F.exists(places, lambda p: F.forall(items, lambda item: around(words, p, item)))
+        ordered = F.sort_array(F.flatten(F.transform(items, lambda item, i: starts(words, item, i))))
+        none = F.struct(F.transform(items, lambda _: never).alias("last"), F.lit(False).alias("found"))
+        return F.aggregate(ordered, none, passed, lambda state: state["found"])
 
     # the one-element array binds the words, so that they are split once per pair
     return F.exists(F.array(words), holds)
@@ -118,14 +132,12 @@ def match_clauses(values: DataFrame, rules: CompiledRules) -> DataFrame:
         pairs = probes.join(F.broadcast(keyed), ["column_name", "block_key"])
         return pairs.filter(pair_matches(rules)).select(*result)
 
-    # A dictionary too large to broadcast: join ids by salted key, without the
-    # text, so that a key held by many values is spread; then fetch the text.
-    salts = rules.options.salts
+    # A dictionary too large to broadcast: join ids by key, without the text, so
+    # that a key held by many values can be split; then fetch the text.
+    split = rules.options.hot_id_rows
     probes = values.select("id", "column_name", F.explode(_keys_of(rules)).alias("block_key"))
-    probes = probes.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    spread = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    pairs = probes.join(spread, ["column_name", "block_key", "salt"]).drop("salt", "block_key")
-    return pairs.join(values, ["id", "column_name"]).filter(pair_matches(rules)).select(*result)
+    pairs = join_many(probes, keyed, ["column_name", "block_key"], split).drop("block_key")
+    return join_many(pairs, values, ["id", "column_name"], split).filter(pair_matches(rules)).select(*result)
 
 
 def match_rules(snapshot: DataFrame, id_column: str, rules: CompiledRules) -> DataFrame:
@@ -164,22 +176,15 @@ def _match_distinct(snapshot: DataFrame, id_column: str, rules: CompiledRules) -
         *[F.when(F.col("name") == n, F.col("value")).alias(n) for n in names],
     )
     matched = match_clauses(values_by_column(wide, "_cell", rules), rules)
-    # a value matches at most the rules of the dictionary
-    per_value = matched.groupBy("id").agg(
-        F.collect_list(F.struct("rule_id", "clause_no", "n_clauses")).alias("found")
-    )
-    per_value = per_value.select("id.name", "id.value", "found")
-    hot = None
-    if rules.options.hot_id_rows and not adaptive_split(tall):
-        hot = hot_keys(tall, ["name", "value"], rules.options.hot_id_rows)
-    joined = join_per_key(tall, per_value, ["name", "value"], "inner", hot)
-    return joined.select("id", F.inline("found"))
+    found = matched.select("id.name", "id.value", "rule_id", "clause_no", "n_clauses")
+    joined = join_many(tall, found, ["name", "value"], rules.options.hot_id_rows)
+    return joined.select("id", "rule_id", "clause_no", "n_clauses")
 
 
 def with_payload(hits: DataFrame, rules: CompiledRules) -> DataFrame:
     """Hits with the action and labels of their rule."""
     payload = rules.rules.select("rule_id", "action", "labels")
-    return join_small(hits, payload, "rule_id", rules.broadcastable, rules.options.salts)
+    return join_small(hits, payload, "rule_id", rules.broadcastable, rules.options.hot_id_rows)
 
 
 def union_hits(*hits: DataFrame) -> DataFrame:

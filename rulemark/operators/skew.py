@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from rulemark.functions.names import free_name, quoted
 
 
+#: Keys that may be split, a bound of what is broadcast for it.
+HOT_KEYS = 100_000
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Spread a scan with fewer tasks than cores; a wide scan stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -15,17 +19,27 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def join_small(
-    rows: DataFrame, small: DataFrame, key: str, broadcastable: bool, salts: int
+    rows: DataFrame, small: DataFrame, key: str, broadcastable: bool, rows_per_split: int | None
 ) -> DataFrame:
     """Inner join with a table that is broadcast if it was measured to be small.
 
-    Otherwise each row goes to one of ``salts`` copies of its key.
+    Otherwise both are shuffled, and hot keys of ``rows`` are split.
     """
     if broadcastable:
         return rows.join(F.broadcast(small), key)
-    salt = F.pmod(row_hash(rows), F.lit(salts)).cast("int")
-    spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(spread, [key, "_salt"]).drop("_salt")
+    return join_many(rows, small, [key], rows_per_split)
+
+
+def join_many(rows: DataFrame, other: DataFrame, key: list[str], rows_per_split: int | None) -> DataFrame:
+    """Inner join of ``rows`` with a table too large to broadcast, of any number of rows per key.
+
+    ``other`` is shuffled once. Adaptive execution splits hot partitions of ``rows``; where
+    it is off, the keys of ``rows`` are counted and only rows of hot keys are repeated.
+    """
+    hot = None
+    if rows_per_split and not adaptive_split(rows):
+        hot = hot_keys(rows, key, rows_per_split)
+    return join_per_key(rows, other.hint("merge"), key, "inner", hot)
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -35,14 +49,21 @@ def row_hash(df: DataFrame) -> Column:
 
 
 def hot_keys(rows: DataFrame, key: list[str], rows_per_split: int) -> DataFrame:
-    """Keys with more than ``rows_per_split`` rows, and into how many parts to split them.
+    """Keys with more than ``rows_per_split`` rows, and into how many parts to split them."""
+    names = [quoted(c) for c in key]
+    return hot_of(rows.dropna(subset=names).groupBy(*names).agg(F.count("*").alias("_n")), key, rows_per_split)
+
 
-    At most ``count / rows_per_split`` rows.
+def hot_of(counted: DataFrame, key: list[str], rows_per_split: int) -> DataFrame:
+    """The same from the number of rows ``_n`` of each key.
+
+    A key must hold more than one of ``HOT_KEYS`` parts of all rows too: so there are
+    fewer than ``HOT_KEYS`` of them however many rows there are, and they can be broadcast.
     """
-    counted = rows.dropna(subset=key).groupBy(*key).agg(F.count("*").alias("_n"))
-    return counted.filter(F.col("_n") > rows_per_split).select(
-        *key, F.ceil(F.col("_n") / F.lit(rows_per_split)).cast("int").alias("_parts")
-    )
+    share = counted.agg(F.sum("_n")).scalar() / F.lit(HOT_KEYS)
+    hot = counted.filter((F.col("_n") > rows_per_split) & (F.col("_n") > share))
+    parts = F.ceil(F.col("_n") / F.lit(rows_per_split)).cast("int")
+    return hot.select(*map(quoted, key), parts.alias("_parts"))
 
 
 def adaptive_split(df: DataFrame) -> bool:
@@ -59,10 +80,10 @@ def join_per_key(
     how: str,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Join many rows with a table of one row per key (``inner`` or ``left``).
+    """Join many rows with a table of few rows per key (``inner`` or ``left``).
 
     With ``hot`` (see ``hot_keys``) the rows of a hot key are cut into its number
-    of parts, and only that key's row of ``per_key`` is repeated. Without it every
+    of parts, and only that key's rows of ``per_key`` are repeated. Without it every
     key is one part. Either way the part is a join key, so both sides are shuffled
     for this join and not for what came before it: only then does adaptive
     execution split a partition that is much larger than the others.

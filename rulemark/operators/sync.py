@@ -12,9 +12,9 @@ from rulemark.operators.skew import join_per_key
 
 
 def update_from(
-    target: DataFrame, source: DataFrame, key: str, columns: list[str], hot: DataFrame | None = None
+    target: DataFrame, source: DataFrame, key: str, columns: list[str], hot: DataFrame | None = None, how: str = "left"
 ) -> DataFrame:
-    """Copy ``columns`` from the source row with the same key; others stay.
+    """Copy ``columns`` from the source row with the same key; others stay, or go if ``how`` is inner.
 
     ``source`` holds one row per key. ``hot`` splits frequent keys of the target,
     see ``skew.hot_keys``.
@@ -23,7 +23,7 @@ def update_from(
     found = free_name("_found", target.columns)
     copies = {c: free_name(f"_s{i}", target.columns) for i, c in enumerate(columns)}
     new = source.select(quoted(key), F.lit(True).alias(found), *[F.col(quoted(c)).alias(n) for c, n in copies.items()])
-    joined = join_per_key(target, new, [key], "left", hot)
+    joined = join_per_key(target, new, [key], how, hot)
     return joined.select(
         *[
             F.when(F.col(found), F.col(copies[c])).otherwise(F.col(quoted(c))).alias(c)
@@ -54,11 +54,14 @@ def sync_tables(target: DataFrame, source: DataFrame, key: str, columns: list[st
     """Update, insert, then delete, as one table.
 
     Only ``columns`` are copied: a row inserted without its key has none, and is
-    deleted again.
+    deleted again. So what is left is the target's rows that the source has too, as
+    updated, and the source's rows with a new key.
     """
-    updated = update_from(target, source, key, columns)
-    added = insert_missing(updated, source, key, columns)
-    return delete_missing(added, source, key)
+    kept = update_from(target, source, key, columns, how="inner")
+    if key not in columns:
+        return kept
+    added = missing_rows(source, target, key).filter(F.col(quoted(key)).isNotNull())
+    return kept.unionByName(added.select(*map(quoted, columns)), allowMissingColumns=True)
 
 
 def unmapped_rows(

@@ -56,10 +56,9 @@ class LabelOptions:
     #: up to this many block keys per column and kind, values are probed for the
     #: keys directly; above it all keys of the value are generated.
     probe_limit: int = 32
-    #: salt buckets of the shuffled joins.
-    salts: int = 64
-    #: ids with more source rows than this are split when labels are joined back,
-    #: where their counts are at hand or adaptive execution does not split them.
+    #: ids with more source rows than this are split when labels are joined back, and
+    #: block keys with more values when rules are joined by shuffling, where
+    #: their counts are at hand or adaptive execution does not split them.
     hot_id_rows: int | None = 1_000_000
 
     def __post_init__(self):

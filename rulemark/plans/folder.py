@@ -13,6 +13,7 @@ from rulemark.functions.names import clean_names
 from rulemark.operators.actions import resolve
 from rulemark.operators.compiled import CompiledRules, compile_rules
 from rulemark.operators.matching import match_rules, with_payload
+from rulemark.operators.skew import hot_of
 from rulemark.operators.snapshot import detect_date_column, latest_per_key
 from rulemark.operators.sync import unmapped_rows
 from rulemark.options import FolderOptions, LabelOptions
@@ -89,9 +90,7 @@ def labelled_rows(
     split = rules.options.hot_id_rows
     hot = None
     if split:
-        hot = state.filter(F.col(ROWS) > split).select(
-            id_column, F.ceil(F.col(ROWS) / F.lit(split)).cast("int").alias("_parts")
-        )
+        hot = hot_of(state.select(id_column, F.col(ROWS).alias("_n")), [id_column], split)
     return carry_back(data, per_id, rules, id_column, hot)
 
 

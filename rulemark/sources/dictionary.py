@@ -12,6 +12,7 @@ from rulemark.functions.names import clean_names
 from rulemark.options import ReadOptions, WriteOptions
 from rulemark.sources.export import csv_writer
 from rulemark.sources.files import FILE, LOAD_ORDER, list_files, read_files, read_header
+from rulemark.sources.storage import path_exists
 
 SORT_COLUMN = "search_column_idx"
 #: Columns that give the order of rules read from files.
@@ -50,7 +51,7 @@ def get_dictionary(
 ) -> DataFrame:
     """The merged dictionary of a folder; it is built from the files there if missing."""
     for target in (f"{folder.rstrip('/')}/{name}.{extension.strip('.')}", f"{folder.rstrip('/')}/{name}"):
-        if list_files(spark, *target.rsplit("/", 1)).count() or _is_folder(spark, target):
+        if path_exists(spark, target):
             return read_dictionary(spark, target, options)
     files = [row[0] for row in list_files(spark, folder, extension).orderBy("path").collect()]
     if not files:
@@ -59,8 +60,3 @@ def get_dictionary(
     # BOM and compression are for exports; the dictionary is read back by us
     csv_writer(merge(parts), WriteOptions(separator=options.separator, compression=None)).save(target)
     return read_dictionary(spark, target, options)
-
-
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 from rulemark.errors import SettingsError
 from rulemark.functions.names import clean_names
 from rulemark.options import ReadOptions
+from rulemark.sources.storage import any_path
 
 BOM = "\ufeff"
 #: Load order: the place of the file among all by path, the part of the file, and a
@@ -34,12 +34,9 @@ def list_files(
         location = folder
     else:
         location = _pattern(folder, extension)
-    try:
-        return reader.load(location).select("path")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    if not any_path(spark, location):
         return spark.createDataFrame([], "path string")
+    return reader.load(location).select("path")
 
 
 def first_file(spark: SparkSession, folder: str, extension: str, include_subfolders: bool = False) -> str:

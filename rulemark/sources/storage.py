@@ -50,6 +50,22 @@ def detached(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
+def _located(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _located(spark, path)
+    return system.exists(target)
+
+
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    """Does any file or folder fit the pattern?"""
+    system, target = _located(spark, pattern)
+    return bool(system.globStatus(target))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, target = _located(spark, path)
+    system.delete(target, True)

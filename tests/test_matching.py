@@ -4,6 +4,7 @@ import random
 import pytest
 
 from interpreter import hits, labels
+from rulemark.operators import skew
 from rulemark.operators.actions import apply_actions, resolve
 from rulemark.operators.compiled import compile_rules
 from rulemark.operators.matching import match_rules, with_payload
@@ -83,7 +84,7 @@ def setup(spark, table, rules, **options):
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize(
     "options",
-    [{}, {"probe_limit": 0}, {"broadcast_bytes": 0, "probe_limit": 0, "salts": 3}, {"dedupe_values": True, "hot_id_rows": 5}],
+    [{}, {"probe_limit": 0}, {"broadcast_bytes": 0, "probe_limit": 0}, {"dedupe_values": True, "hot_id_rows": 5}],
     ids=["probe", "generate", "shuffle", "dedupe"],
 )
 def test_random_dictionaries(spark, seed, options):
@@ -148,7 +149,7 @@ def test_dictionary_beyond_the_local_limit(spark, broadcast_bytes):
         F.lit("0").alias("search"), F.lit(None).cast("string").alias("note"),
         F.concat(F.lit("item "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("term"), F.col("id").cast("string").alias("tag"),
     )
-    compiled = compile_rules(raw, ["a"], ["n"], LabelOptions(broadcast_bytes=broadcast_bytes, salts=4))
+    compiled = compile_rules(raw, ["a"], ["n"], LabelOptions(broadcast_bytes=broadcast_bytes))
     assert compiled.broadcastable == (broadcast_bytes > 0)
     data = spark.range(500).select(
         "id",
@@ -169,3 +170,61 @@ def test_dictionary_beyond_the_local_limit(spark, broadcast_bytes):
     assert len(compiled.stored) == 4
     compiled.release()
     assert not any(os.path.exists(path) for path in compiled.stored)
+
+
+def near(words, items, distance):
+    """Are there places of all items, the last one's start within reach of each?"""
+    starts = [[p for p in range(len(words)) if fits(words[p : p + len(i)], i)] for i in items]
+    reach = lambda p: all(any(p - len(i) - distance <= s <= p for s in found) for i, found in zip(items, starts))
+    return any(reach(p) for p in range(len(words)))
+
+
+def fits(run, item):
+    whole = [w.rstrip("*") if i == len(item) - 1 and w.endswith("*") else w for i, w in enumerate(item)]
+    if len(run) < len(item) or run[:-1] != whole[:-1]:
+        return False
+    return run[-1].startswith(whole[-1]) if item[-1].endswith("*") else run[-1] == whole[-1]
+
+
+def test_near_against_all_places(spark):
+    rng = random.Random(4)
+    table = {i: " ".join(rng.choice(["ab", "abc", "b", "c", "x", "y", "z"]) for _ in range(rng.randint(0, 40))) for i in range(150)}
+    table[0], table[1] = "ab " + "y " * 3000 + "x", "ab " + "y " * 3001 + "x"
+    forms = [("ab x", 0), ("ab x", 1), ("ab x", 5), ("x x", 2), ("ab x c", 3), ("abc b z", 12), ("ab x", 3000), ("x ab", 2999)]
+    rules = [(i, "a", "fts", "0", None, f"NEAR({items}, {n})", "t", None) for i, (items, n) in enumerate(forms, 1)]
+    data, compiled = setup(spark, {i: [t, None, None] for i, t in table.items()}, rules)
+    expected = {
+        (i, r) for i, t in table.items() for r, (items, n) in enumerate(forms, 1) if near(t.split(), [[w] for w in items.split()], n)
+    }
+    assert {tuple(r) for r in match_rules(data, "id", compiled).collect()} == expected
+    assert {(0, 7), (0, 1), (1, 8)} & expected == {(0, 7)}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_shuffled_rules_split_hot_keys_only(spark, adaptive):
+    """Most values hold one key; the rules are neither broadcast nor copied for other keys."""
+    raw = spark.range(1, 60).select(
+        F.col("id").alias("n"), F.lit("a").alias("action"), F.lit("f").alias("match"), F.lit("0").alias("search"),
+        F.lit(None).cast("string").alias("note"), F.concat(F.lit("v"), "id").alias("term"), F.col("id").cast("string").alias("tag"),
+    )
+    data = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, "V1").otherwise(F.concat(F.lit("V"), F.col("id") % 50)).alias("a"))
+    compiled = compile_rules(raw, ["a"], ["n"], LabelOptions(broadcast_bytes=0, hot_id_rows=100))
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        found = with_payload(match_rules(data, "id", compiled), compiled)
+        got = {(r["id"], r["rule_id"]) for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    values = {i: 1 if i % 3 else i % 50 for i in range(900)}
+    assert got == {(i, v) for i, v in values.items() if v}
+    if adaptive == "true":  # otherwise the hot keys themselves are broadcast
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_hot_keys_are_bounded_by_their_share(spark, monkeypatch):
+    rows = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 60).alias("k.x"))
+    many = skew.hot_keys(rows, ["k.x"], 5).collect()
+    assert len(many) == 60 and max(r["_parts"] for r in many) == 82
+    monkeypatch.setattr(skew, "HOT_KEYS", 10)
+    assert [tuple(r) for r in skew.hot_keys(rows, ["k.x"], 5).collect()] == [(0, 82)]

@@ -154,7 +154,7 @@ def field(value):
     return '"' + value.replace('"', '""') + '"' if any(c in value for c in ';"\n') else value
 
 
-@pytest.mark.parametrize("label", [LabelOptions(), LabelOptions(broadcast_bytes=0, hot_id_rows=3, salts=2)], ids=["broadcast", "split"])
+@pytest.mark.parametrize("label", [LabelOptions(), LabelOptions(broadcast_bytes=0, hot_id_rows=3)], ids=["broadcast", "split"])
 def test_label_folder(spark, tmp_path, label):
     base, data = str(tmp_path), data_rows()
     lines = [";".join(map(field, row)) + "\n" for row in data]
