@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from query_suite.base import query, table, tokens_sql
+from query_suite.base import ORACLES, query, table, tokens_sql
 from rulemark.operators import ordering, rules as r
-from rulemark.options import RuleColumns
-from rulemark.sources.dictionary import merge
+from rulemark.options import RuleColumns, WriteOptions
+from rulemark.sources.dictionary import ORDER, get_dictionary, merge
+from rulemark.sources.export import csv_writer
+from rulemark.sources.storage import new_folder
 
 COLUMNS = ["name", "brand", "type", "size"]
 LABELS = ["category", "tags", "unused"]
@@ -142,3 +144,17 @@ def rule_merge(spark, sf):
     merged = merge([rules.drop("p_type"), promo])
     order = ["search_column_idx", "action", "match", "term", "category"]
     return ordering.number_rows(merged, order).select("rule_id", *merged.columns)
+
+
+@query(ORACLES["rule_merge"])
+def dictionary_build(spark, sf):
+    """The same from two dictionary files: the merged file is built and read back."""
+    rules = table(spark, sf, "part").select(
+        F.lit("a").alias("action"), F.lit("f").alias("match"), F.col("p_size").cast("string").alias("search_column_idx"),
+        F.col("p_name").alias("term"), F.col("p_brand").alias("category"), "p_type",
+    )
+    folder, plain = new_folder(spark, "dictionary"), WriteOptions(compression=None)
+    csv_writer(rules.drop("p_type").coalesce(1), plain).save(f"{folder}/all.csv")
+    csv_writer(rules.filter(F.col("p_type") == "PROMO").drop("p_type").coalesce(1), plain).save(f"{folder}/promo.csv")
+    merged = get_dictionary(spark, folder)
+    return ordering.number_rows(merged, ORDER).select("rule_id", "action", "match", "search_column_idx", "term", "category")
