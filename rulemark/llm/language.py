@@ -28,8 +28,8 @@ from rulemark.llm.common import cut, kept_by_worker, query, small_batches, table
 SIZE, SEED = 1024, 20240601
 #: More letters than this in a batch are counted by sorting instead of by place.
 DENSE_LETTERS = 96
-#: Characters of a batch that are counted at once.
-BLOCK_CHARS = 1 << 20
+#: Characters of a batch that are counted at once, and different trigrams whose vectors are held at once.
+BLOCK_CHARS, PIECE_GRAMS = 1 << 20, 1 << 14
 #: The unit of the sums: a language may have 2**63 / SIZE trigrams.
 SCHEMA = "lang string, place int, total bigint"
 
@@ -68,19 +68,25 @@ class Counter:
         return self.vectors[code]
 
     def blocks(self, texts: list[str | None]):
-        """Runs of whole texts, as (first, counts by text and trigram, trigram vectors)."""
+        """Runs of whole texts, as (first, counts by text and trigram, trigram vectors).
+
+        A run with more than ``PIECE_GRAMS`` different trigrams comes in pieces, each with some of
+        them: its bundles are the sums over the pieces. This bounds the memory whatever the script.
+        """
         at, size, held = 0, 0, []
         for i, text in enumerate(texts):
             held.append(self.codes(text))
             size += len(held[-1])
             if size >= BLOCK_CHARS or i == len(texts) - 1:
-                yield at, *self.counts(held)
+                for counts, vectors in self.pieces(held):
+                    yield at, counts, vectors
                 at, size, held = i + 1, 0, []
 
-    def counts(self, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def pieces(self, held: list[np.ndarray]):
         owner = np.repeat(np.arange(len(held)), [max(len(h) - 2, 0) for h in held])
         if not len(owner):
-            return np.zeros((len(held), 0)), np.zeros((0, SIZE), np.float32)
+            yield np.zeros((len(held), 0)), np.zeros((0, SIZE), np.float32)
+            return
         flat = np.concatenate(held)
         known = np.zeros(0x110000, bool)
         known[flat] = True
@@ -102,11 +108,17 @@ class Counter:
             place = place[grams]
         else:
             distinct, place = np.unique(grams, return_inverse=True)
-        counts = np.bincount(owner * len(distinct) + place, minlength=len(held) * len(distinct))
+        if len(distinct) > PIECE_GRAMS:
+            order = np.argsort(place, kind="stable")
+            owner, place = owner[order], place[order]
         base = np.stack([self.vector(int(c)) for c in alphabet])
         first, second = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
-        vectors = first[distinct // (n * n)] * second[distinct // n % n] * base[distinct % n]
-        return counts.reshape(len(held), -1), vectors.astype(np.float32)
+        for low in range(0, len(distinct), PIECE_GRAMS):
+            some = distinct[low : low + PIECE_GRAMS]
+            here = slice(None) if len(some) == len(distinct) else slice(*place.searchsorted([low, low + len(some)]))
+            counts = np.bincount(owner[here] * len(some) + place[here] - low, minlength=len(held) * len(some))
+            vectors = first[some // (n * n)] * second[some // n % n] * base[some % n]
+            yield counts.reshape(len(held), -1), vectors.astype(np.float32)
 
 
 def _learn(batches):
@@ -148,14 +160,16 @@ def predictor(prototypes: dict[str, np.ndarray]):
         counter = Counter()
         for batch in batches:
             langs, scores = [], []
-            for _, counts, vectors in counter.blocks(batch.column("text").to_pylist()):
-                bundles = counts.astype(np.float32) @ vectors
-                norms = np.linalg.norm(bundles, axis=1)
-                cosines = (bundles @ matrix) / np.maximum(norms, 1e-9)[:, None]
-                for some, row in zip(counts.any(axis=1), cosines):
-                    best = int(row.argmax()) if some and names else -1
-                    langs.append(names[best] if best >= 0 else "und")
-                    scores.append(min(1.0, max(0.0, float(row[best]))) if best >= 0 else 0.0)
+            bundles, any_gram = np.zeros((len(batch), SIZE), np.float32), np.zeros(len(batch), bool)
+            for at, counts, vectors in counter.blocks(batch.column("text").to_pylist()):
+                bundles[at : at + len(counts)] += counts.astype(np.float32) @ vectors
+                any_gram[at : at + len(counts)] |= counts.any(axis=1)
+            norms = np.linalg.norm(bundles, axis=1)
+            cosines = (bundles @ matrix) / np.maximum(norms, 1e-9)[:, None]
+            for some, row in zip(any_gram, cosines):
+                best = int(row.argmax()) if some and names else -1
+                langs.append(names[best] if best >= 0 else "und")
+                scores.append(min(1.0, max(0.0, float(row[best]))) if best >= 0 else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "text_hash", "held_out", "lang_pred", "score"],
