@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rulemark.functions.names import free_name
 from rulemark.llm.common import SPACES, cut, query, same, small_batches, table
 
 #: Digests of a bucket, on average.
@@ -177,16 +178,16 @@ def exact_dedup(docs: DataFrame, historical: Column | None = None) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
     stay = cut(exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")))
-    matched = docs.withColumn("_digest", digest()).join(
-        stay, (F.col("_digest") == stay["_sha"]) & same(docs["doc_id"], stay["_id"]), "left_semi"
-    )
+    mark = free_name("_digest", docs.columns, stay.columns)
+    marked = docs.withColumn(mark, digest())
+    matched = marked.join(stay, (marked[mark] == stay["_sha"]) & same(marked["doc_id"], stay["_id"]), "left_semi")
     ids = docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))
     if ids.isEmpty():
-        return matched.select(docs.columns)
+        return matched.drop(mark)
     ids = cut(ids)
     repeated = matched.join(ids, same(matched["doc_id"], ids["_id"]), "left_semi")
     single = matched.join(ids, same(matched["doc_id"], ids["_id"]), "left_anti")
-    return single.unionByName(repeated.dropDuplicates(["doc_id", "_digest"])).select(docs.columns)
+    return single.unionByName(repeated.dropDuplicates(["doc_id", mark])).drop(mark)
 
 
 @query(
