@@ -260,6 +260,30 @@ def test_language_vectors_are_those_of_the_definition():
     assert np.array_equal(counts[0] @ vectors, expected)
 
 
+def test_language_in_pieces(monkeypatch):
+    """Texts of many different trigrams are counted in pieces that add up to the same."""
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n)) for n in (1, 50, 3000)] + ["plain words", "", None, "1"]
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": list(range(7)), "text_hash": [0] * 7, "held_out": [False] * 7, "text": texts, "lang": ["zh"] * 3 + ["en"] * 4}
+    )
+
+    def outcome(size):
+        monkeypatch.setattr(language, "PIECE_GRAMS", size)
+        held = [len(vectors) for _, _, vectors in language.Counter().blocks(texts)]
+        assert max(held) <= size and (size > 1000 or len(held) > 1)
+        sums = {b["lang"][0].as_py(): np.array(b["total"]) for b in language._learn([batch])}
+        prototypes = {k: v / np.linalg.norm(v) for k, v in sorted(sums.items())}
+        return sums, next(language.predictor(prototypes)([batch])).to_pydict()
+
+    whole, pieces = outcome(1 << 14), outcome(100)
+    assert all(np.array_equal(whole[0][k], pieces[0][k]) for k in ("zh", "en"))
+    assert whole[1]["lang_pred"] == pieces[1]["lang_pred"] == ["zh"] * 3 + ["en"] + ["und"] * 3
+    assert np.allclose(whole[1]["score"], pieces[1]["score"])
+
+
 def test_language_keeps_what_has_letters(docs, texts):
     kept = language.keep_identified(docs)
     assert kept.columns == docs.columns
@@ -460,6 +484,20 @@ def test_decontamination_against_all_windows(spark):
     assert len(found - brute) <= 0.1 * len(found)
 
 
+def test_items_between_parts_of_a_long_text(monkeypatch):
+    """An item is found wherever it stands, however the document is cut into parts."""
+    rng = random.Random(12)
+    known = [(1, " ".join(f"x{i}" for i in range(21))), (2, " ".join(f"y{i}" for i in range(12)))]
+    weights = {w: (i, 1.0) for i, w in enumerate(sorted({w for _, t in known for w in decontamination.words_of(t)}))}
+    items = decontamination.Items(known, weights, np.eye(len(weights)))
+    body = [f"z{rng.randrange(500)}" for _ in range(400)]
+    monkeypatch.setattr(decontamination, "PART_WORDS", 37)
+    for key, text in known:
+        for at in range(len(body) + 1):
+            words = decontamination.words_of(" ".join([*body[:at], text, *body[at:]]))
+            assert [(h[0], h[2], h[3]) for h in items.search(words)] == [(key, 1.0, 1.0)]
+
+
 def test_singular_vectors(spark):
     rng = np.random.default_rng(0)
     matrix = rng.standard_normal((60, 6)) @ rng.standard_normal((6, 30))
@@ -489,6 +527,28 @@ def test_tables_without_text(spark, request, which):
     assert language.keep_identified(docs).count() == 0
 
 
+def test_columns_named_like_those_of_the_operators(spark):
+    """Stages return the columns of the input with its values, whatever their names."""
+    from pyspark.sql import functions as F
+
+    names = ("_digest", "_sha", "_id", "_gone_id", "_gone_hash", "text_hash", "digest", "kept", "fp", "lang_pred", "item_id", "count")
+    long = [(1, "one text of five words"), (1, "one text of  five words"), (2, "one text of five words"), (3, "another text"), (None, "no id")]
+    docs = spark.createDataFrame(long, "doc_id bigint, text string").withColumn("lang", F.lit("en"))
+    docs = docs.select("*", *[F.concat(F.lit(n), "text").alias(n) for n in names])
+    bench = items(spark, [(1, "one text of five words")])
+    stages = {
+        "language": (language.keep_identified(docs), [None, 1, 1, 2, 3]),
+        "exact": (exact_dedup.keep_first(docs), [None, 1, 3]),
+        "near": (simhash.keep_representatives(docs), None),
+        "clean": (decontamination.keep_clean(docs, bench), [None, 3]),
+    }
+    for name, (kept, ids) in stages.items():
+        assert kept.columns == docs.columns
+        found = rows(kept)
+        assert ids is None or sorted(map(repr, (r["doc_id"] for r in found))) == sorted(map(repr, ids)), name
+        assert found and all(r[n] == n + r["text"] for r in found for n in names)
+
+
 def test_exact_dedup_sql(spark):
     from rulemark.llm.queries import ORACLES, QUERIES
 
