@@ -16,6 +16,21 @@ ASCII_SPELLING = {
     "є": "ie", "і": "i", "ї": "yi", "ґ": "g", "ў": "u",
     "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d",
     "þ": "th", "ħ": "h", "ı": "i", "ŋ": "ng",
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th",
+    "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p",
+    "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps",
+    "ω": "o",
+    "ა": "a", "ბ": "b", "გ": "g", "დ": "d", "ე": "e", "ვ": "v", "ზ": "z", "თ": "t",
+    "ი": "i", "კ": "k", "ლ": "l", "მ": "m", "ნ": "n", "ო": "o", "პ": "p", "ჟ": "zh",
+    "რ": "r", "ს": "s", "ტ": "t", "უ": "u", "ფ": "p", "ქ": "k", "ღ": "g", "ყ": "q",
+    "შ": "sh", "ჩ": "ch", "ც": "c", "ძ": "z", "წ": "c", "ჭ": "ch", "ხ": "x", "ჯ": "j",
+    "ჰ": "h",
+    "ա": "a", "բ": "b", "գ": "g", "դ": "d", "ե": "e", "զ": "z", "է": "e", "ը": "e",
+    "թ": "t", "ժ": "zh", "ի": "i", "լ": "l", "խ": "kh", "ծ": "ts", "կ": "k", "հ": "h",
+    "ձ": "dz", "ղ": "gh", "ճ": "ch", "մ": "m", "յ": "y", "ն": "n", "շ": "sh", "ո": "o",
+    "չ": "ch", "պ": "p", "ջ": "j", "ռ": "r", "ս": "s", "վ": "v", "տ": "t", "ր": "r",
+    "ց": "ts", "ւ": "w", "փ": "p", "ք": "k", "օ": "o", "ֆ": "f",
+    "€": "EUR",
 }
 
 VALID_NAME = re.compile(r"[a-zA-Z_][a-zA-Z0-9_]*")
@@ -23,15 +38,17 @@ VALID_NAME = re.compile(r"[a-zA-Z_][a-zA-Z0-9_]*")
 
 def to_ascii(text: str) -> str:
     """Spell text in ASCII letters as far as possible."""
-    out = []
-    for ch in text:
-        low = ch.lower()
-        if low in ASCII_SPELLING:
-            spelled = ASCII_SPELLING[low]
-            out.append(spelled if ch == low else spelled.capitalize())
-        else:
-            out.append(unicodedata.normalize("NFKD", ch))
-    return "".join(out).encode("ascii", "ignore").decode()
+    return "".join(map(_spelled, text)).encode("ascii", "ignore").decode()
+
+
+def _spelled(ch: str) -> str:
+    low = ch.lower()
+    if low in ASCII_SPELLING:
+        spelled = ASCII_SPELLING[low]
+        return spelled if ch == low else spelled.capitalize()
+    parts = unicodedata.normalize("NFKD", ch)
+    # letters under marks and in other forms are spelled like the plain ones
+    return "".join(map(_spelled, parts)) if parts != ch else ch
 
 
 def clean_names(*names: str) -> list[str]:

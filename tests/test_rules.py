@@ -142,6 +142,11 @@ def test_clean_names():
     ]
 
 
+def test_clean_names_of_other_scripts():
+    dirty = ["Ελληνικά", "ΨΥΧΉ", "საქართველო", "Հայերեն", "price €", "ﬁeld½", "日本", "Ё"]
+    assert clean_names(*dirty) == ["Ellenika", "PsUKhE", "sakartvelo", "Hayeren", "priceEUR", "field12", "col_6", "Io"]
+
+
 def test_label_and_typed_columns(spark):
     df = spark.createDataFrame([(1, "a")], "id int, `na me` string")
     labelled = columns.add_label_columns(df, "tag", "ID")
