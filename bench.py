@@ -1,6 +1,8 @@
 """Time the headline queries and print one JSON line.
 
-Every query runs once to warm up on the smallest tables and once for the record.
+Every query runs once to warm up on the smallest tables and once for the record. ``compile``
+is the part of its time that goes before the first row: compiling the dictionary and
+planning. ``rules_x_rows_per_second`` leaves that part out.
 """
 
 import json
@@ -13,6 +15,9 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from query_suite import QUERIES  # noqa: E402
+from query_suite.jobs import PART_RULES  # noqa: E402
+from query_suite.matching import CONTAINS, FULL  # noqa: E402
+from query_suite.words import PHRASES  # noqa: E402
 
 HEADLINE = [
     "latest_per_key_text_date",
@@ -28,12 +33,22 @@ HEADLINE = [
     "label_unmapped",
     "label_folder",
 ]
+#: Rules of a query and the table they are matched to.
+RATED = {
+    "match_full": (FULL, "part"),
+    "match_contains": (CONTAINS, "part"),
+    "fts_phrase": (PHRASES, "documents"),
+    "label_table": (PART_RULES, "lineitem"),
+}
 
 
 def run(spark, name, sf):
+    """Seconds until the query is compiled, and until its rows are made."""
     start = time.time()
-    QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
-    return round(time.time() - start, 3)
+    result = QUERIES[name](spark, sf)
+    compiled = time.time() - start
+    result.write.format("noop").mode("overwrite").save()
+    return compiled, time.time() - start
 
 
 def main():
@@ -54,8 +69,20 @@ def main():
     for name in HEADLINE:
         run(spark, name, small if os.path.isdir(small) else sf)
     times = {name: run(spark, name, sf) for name in HEADLINE}
-    total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times, "sf": os.path.basename(sf.rstrip("/"))}))
+    rates = {}
+    for name, (rules, source) in RATED.items():
+        rows = spark.read.parquet(os.path.join(sf, f"{source}.parquet")).count()
+        rates[name] = round(len(rules) * rows / (times[name][1] - times[name][0]))
+    record = {
+        "metric": "total_query_time",
+        "value": round(sum(t for _, t in times.values()), 3),
+        "unit": "sec",
+        "queries": {name: round(t, 3) for name, (_, t) in times.items()},
+        "compile": {name: round(c, 3) for name, (c, _) in times.items()},
+        "rules_x_rows_per_second": rates,
+        "sf": os.path.basename(sf.rstrip("/")),
+    }
+    print(json.dumps(record))
     spark.stop()
 
 

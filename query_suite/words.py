@@ -38,7 +38,8 @@ def has(item):
     return f"contains(t, {literal(item)})"
 
 
-_register("fts_phrase", [("licensed under", has(" licensed under ")), ("Apache-License, Version 2.0", has(" apache license version 2 0 ")), ("and the", has(" and the ")), ("für", has(" fur ")), ("!!!", "false")])
+PHRASES = [("licensed under", has(" licensed under ")), ("Apache-License, Version 2.0", has(" apache license version 2 0 ")), ("and the", has(" and the ")), ("für", has(" fur ")), ("!!!", "false")]
+_register("fts_phrase", PHRASES)
 _register("fts_any", [("(license OR idiot)", f"{has(' license ')} OR {has(' idiot ')}"), ("(über OR être OR para)", " OR ".join(map(has, (" uber ", " etre ", " para "))))])
 _register("fts_all", [("(the and)", f"{has(' the ')} AND {has(' and ')}"), ("(the AND idiot)", f"{has(' the ')} AND {has(' idiot ')}")])
 _register("fts_none", [("(the NOT from)", f"{has(' the ')} AND NOT {has(' from ')}"), ("(and the NOT license NOT is)", f"{has(' and ')} AND {has(' the ')} AND NOT {has(' license ')} AND NOT {has(' is ')}")])
