@@ -498,6 +498,25 @@ def test_items_between_parts_of_a_long_text(monkeypatch):
             assert [(h[0], h[2], h[3]) for h in items.search(words)] == [(key, 1.0, 1.0)]
 
 
+@pytest.mark.parametrize("rank", [0, 4])
+def test_copies_are_found_far_from_their_items(rank):
+    """Among thousands of items, in a space that tells nothing (rank 0) or hardly anything."""
+    rng = random.Random(4)
+    known = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 6000}" for _ in range(rng.randint(15, 59)))) for i in range(2000)]
+    words = sorted({w for _, t in known for w in decontamination.words_of(t)})
+    counts = Counter(w for _, t in known for w in set(decontamination.words_of(t)))
+    weights = {w: (i, float(np.log(2002 / (1 + counts[w])))) for i, w in enumerate(words)}
+    space = np.random.default_rng(1).standard_normal((len(weights), max(1, rank))) * (rank > 0)
+    items = decontamination.Items(known, weights, space)
+    for i, text in known[::20]:
+        n, held = len(text.split()), text.split()
+        held[rng.randrange(n)] = "zzz"
+        for body in (text, " ".join(held)):
+            before = " ".join(f"w{rng.randrange(6000)}" for _ in range(rng.randrange(90)))
+            found = {item for item, *_ in items.search(decontamination.words_of(f"{before} {body} and so on"))}
+            assert i in found
+
+
 def test_singular_vectors(spark):
     rng = np.random.default_rng(0)
     matrix = rng.standard_normal((60, 6)) @ rng.standard_normal((6, 30))
