@@ -4,13 +4,15 @@ Addresses, card and phone numbers are found by their form. What else tells about
 them is learnt from the corpus: words within ``WORDS`` words of an entity (an address or
 number, by its value) are terms of its contexts. With IC(e) = -log p(e), a term t
 discloses the share (IC(e) - IC(e|t)) / IC(e) of an entity, where p(e) is the number of
-different contexts of e among all documents and p(e|t) the part of the documents with t
+different contexts of e among all different texts and p(e|t) the part of the texts with t
 that hold t in such a context. At ``REMOVE`` the term is taken out near that entity, at
-``GENERALISE`` it is replaced by its kind. Equal contexts count once, so copies of a text prove
-nothing, and ``EVIDENCE`` different ones are needed.
+``GENERALISE`` it is replaced by its kind. Equal contexts and equal texts count once, so copies
+prove nothing and dilute nothing, and ``EVIDENCE`` different contexts are needed.
 
-Contexts and counts are aggregated before each shuffle; texts are not shuffled. The
-words of all documents are counted in the tasks and only sums of terms that matter travel.
+Contexts and counts are aggregated before each shuffle. The words of all documents are
+counted in the tasks and only sums of terms that matter travel, or for texts that occur more
+than once, a row for each text and term. Texts are shuffled only if more than
+``BROADCAST_HASHES`` of them do.
 
 A null text is empty. Repeated rows each give their row. Rows without an id are read like
 others. Other columns are not read.
@@ -38,6 +40,8 @@ GENERALISE, REMOVE = 0.75, 0.9
 HELD_WORDS = 200_000
 #: Terms that may be broadcast; more of them are joined by shuffling.
 BROADCAST_ROWS = 50_000
+#: Hashes of repeated texts that may be broadcast.
+BROADCAST_HASHES = 500_000
 
 #: Kinds in the order of the contract.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -157,24 +161,48 @@ def _find(batches):
 
 
 def _words(batches):
+    """Texts with each term (``n``), and by ``copied`` hash a row for each term of a text that has copies."""
     held: dict[str, int] = {}
+    seen: set[int] = set()
 
-    def emit():
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["term", "n"])
+    def rows(copied, terms, n):
+        return pa.RecordBatch.from_arrays([pa.array(copied, pa.int64()), pa.array(terms, pa.string()), pa.array(n, pa.int64())], ["copied", "term", "n"])
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            for w in set(TERM.findall(text.lower() if text else "")):
-                held[w] = held.get(w, 0) + 1
+        for copied, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if copied in seen:
+                continue
+            words = set(TERM.findall(text.lower() if text else ""))
+            if copied is None:
+                for w in words:
+                    held[w] = held.get(w, 0) + 1
+            else:
+                if len(seen) > HELD_WORDS:
+                    seen.clear()
+                seen.add(copied)
+                yield rows([copied] * len(words), list(words), [1] * len(words))
         if len(held) > HELD_WORDS:
-            yield emit()
+            yield rows([None] * len(held), list(held), list(held.values()))
             held = {}
-    yield emit()
+    yield rows([None] * len(held), list(held), list(held.values()))
 
 
-def bounded(df: DataFrame) -> DataFrame:
+def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """To be broadcast if it has been counted to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def texts_with(docs: DataFrame, found: DataFrame, terms: DataFrame) -> tuple[DataFrame, int]:
+    """Number of different texts with each term (``_term``, ``n_term``), and of all."""
+    texts = cut(found.groupBy("text_hash").agg(F.count("*").alias("n")))
+    copies = bounded(cut(texts.filter("n > 1").select(F.col("text_hash").alias("copied"))), BROADCAST_HASHES)
+    read = small_batches(docs).select(text_hash().alias("text_hash"), "text")
+    read = read.join(copies, F.col("text_hash") == F.col("copied"), "left").select("copied", "text")
+    counted = read.mapInArrow(_words, "copied bigint, term string, n bigint").join(terms, "term")
+    # Of a text with copies, the rows of several tasks are one.
+    once = counted.groupBy("copied", "term").agg(F.sum("n").alias("n"))
+    n_term = F.sum(F.when(F.col("copied").isNull(), F.col("n")).otherwise(1))
+    return once.groupBy(F.col("term").alias("_term")).agg(n_term.alias("n_term")), texts.count()
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -184,9 +212,8 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     sizes = seen.select(F.col("entity").alias("_entity"), "context").distinct().groupBy("_entity").agg(F.count("*").alias("n_entity"))
     pairs = cut(pairs.join(sizes, F.col("entity") == F.col("_entity")))
     terms = bounded(cut(pairs.select("term").distinct()))
-    counted = small_batches(docs).select("text").mapInArrow(_words, "term string, n bigint")
-    df = counted.join(terms, "term").groupBy(F.col("term").alias("_term")).agg(F.sum("n").alias("n_term"))
-    total = F.lit(float(max(1, found.count())))
+    df, texts = texts_with(docs, found, terms)
+    total = F.lit(float(max(1, texts)))
     told = pairs.join(df, F.col("term") == F.col("_term"))
     ic = -F.log(F.least(F.col("n_entity") / total, F.lit(1.0)))
     left = -F.log(F.least(F.col("together") / F.col("n_term"), F.lit(1.0)))

@@ -410,6 +410,19 @@ def test_pii_learns_what_gives_away(spark):
     assert "Zanzibar" not in clean[1001] and "[EMAIL]" in clean[1001] and clean[3000] is None and clean[0] == texts[0]
 
 
+def test_pii_copies_dilute_nothing(spark, monkeypatch):
+    """A name found only by one address is taken out, also if one of its documents has many copies."""
+    rng = random.Random(8)
+    data = [(i, prose(rng, 60), None) for i in range(300)]
+    named = [f"{prose(rng, 20)} Zanzibar {prose(rng, 2)} mail ann@example.org {prose(rng, 3)} {prose(rng, 20)}" for _ in range(4)]
+    data += [(1000 + i, t, None) for i, t in enumerate(named)] + [(2000 + i, named[0], None) for i in range(200)]
+    for limit in (500_000, 0):
+        monkeypatch.setattr(pii, "BROADCAST_HASHES", limit, raising=False)
+        found = {r["doc_id"]: r for r in rows(pii.find_private(frame(spark, data).repartition(5)))}
+        for i, t, _ in data[300:]:
+            assert "Zanzibar" in {t[x["start"] : x["end"]] for x in found[i]["terms"] or ()}
+
+
 def test_pii_on_edges(docs, texts):
     from rulemark.llm.common import QUERIES  # noqa: F401
 
