@@ -60,7 +60,7 @@ def encoder(vocabulary: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     parts: dict[str, bytes] = {}
 
     def learn(new: list[str]) -> None:
@@ -88,6 +88,8 @@ def encoder(vocabulary: str):
         return b"".join(ids)
 
     def encode(text: str) -> bytes:
+        if any(s in text for s in special):
+            return other(text)  # as the contract's call reads them, wherever they stand
         if SIMPLE.fullmatch(text):
             return simple(text)
         words = [simple(w) if SIMPLE.fullmatch(w) else other(w) for w in re.split("[ \\t-\\r]+", text)]

@@ -322,6 +322,13 @@ def check_packing(found, texts):
     return by
 
 
+def test_special_strings_are_read_as_by_the_plain_call():
+    plain, encode = tokenizer(), packing.encoder(packing.VOCABULARY)
+    for text in ("a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|>", "中 <|startoftext|> it's <|endoftext|>", "<|ENDOFTEXT|> <|", "a <|endoftext |> b"):
+        assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    assert np.frombuffer(encode("a <|endoftext|> b"), "<u4").tolist() == [320, 49407, 321]
+
+
 def test_packing(docs, texts):
     found = rows(packing.pack(docs))
     check_packing(found, texts)
