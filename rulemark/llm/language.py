@@ -178,12 +178,13 @@ def predictor(prototypes: dict[str, np.ndarray]):
     return predict
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, otherwise: dict[str, np.ndarray] | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``text_hash``, ``held_out``, ``lang_pred``, ``score``.
 
-    Learns from the rows that are not held out.
+    Learns from the rows that are not held out; ``otherwise`` are the prototypes where
+    nothing can be learnt.
     """
-    prototypes = learn(docs.filter(~held_out()))
+    prototypes = learn(docs.filter(~held_out())) or otherwise or {}
     rows = small_batches(docs).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("text_hash"), held_out().alias("held_out"), "text"
     )
@@ -192,8 +193,11 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents that have a language, with all their columns."""
-    return without_rows(docs, cut(identify(docs).filter("lang_pred = 'und'").select("doc_id", "text_hash")))
+    """The documents that have a language, with all their columns.
+
+    Where no language can be learnt, those that have a letter.
+    """
+    return without_rows(docs, cut(identify(docs, {"any": np.zeros(SIZE)}).filter("lang_pred = 'und'").select("doc_id", "text_hash")))
 
 
 @query()

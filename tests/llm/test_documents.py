@@ -291,6 +291,14 @@ def test_language_keeps_what_has_letters(docs, texts):
     assert Counter(repr(r["doc_id"]) for r in kept.select("doc_id").collect()) == expected
 
 
+def test_language_keeps_letters_where_nothing_is_learnt(spark):
+    """Without a labelled row the stage cannot judge languages, so clean documents stay."""
+    data = [(1, "clean words of a document", None), (2, "12 34 !!", None), (3, None, None), (4, "Ärger", None)]
+    kept = language.keep_identified(frame(spark, data))
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {1, 4}
+    assert {r["lang_pred"] for r in rows(language.identify(frame(spark, data)))} == {"und"}
+
+
 # packing
 
 
