@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from conftest import frame, prose
+from corpus_helpers import frame, prose
 from rulemark.llm import decontamination, exact_dedup, language, licenses, packing, pii, sharding, simhash
 
 SF = "/root/testdata/sf0.001"

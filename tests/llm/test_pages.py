@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
-from conftest import frame
+from corpus_helpers import frame
 from rulemark.llm import decontamination, html_text, url_filter
 
 SF = "/root/testdata/sf0.001"
