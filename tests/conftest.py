@@ -24,8 +24,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as plain tuples, sorted."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from rulemark.errors import RuleError, SettingsError
 from rulemark.functions.names import clean_names

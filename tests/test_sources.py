@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from interpreter import hits, labels
 from rulemark.errors import RuleError, SettingsError
 from rulemark.operators.compiled import compile_rules

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from rulemark.operators import actions, skew, snapshot, sync
 
