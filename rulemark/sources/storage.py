@@ -69,3 +69,25 @@ def any_path(spark: SparkSession, pattern: str) -> bool:
 def delete_folder(spark: SparkSession, path: str) -> None:
     system, target = _located(spark, path)
     system.delete(target, True)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no folder."""
+    system, target = _located(spark, folder)
+    return [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears under its name only when it is whole."""
+    system, target = _located(spark, path)
+    _, draft = _located(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = system.create(draft, True)
+    stream.write(text.encode())
+    stream.close()
+    system.delete(target, False)
+    if not system.rename(draft, target):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
