@@ -167,6 +167,14 @@ def csv_roundtrip(spark, sf):
     return read_folder(spark, done.path, "gz").select("doc_id", "text", "lang", "n_chars")
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
+def csv_quoted_lines(spark, sf):
+    """The same texts through plain files, each of which is divided among tasks though its fields hold line breaks."""
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    done = export_csv(documents, new_folder(spark, "csv"), "documents", WriteOptions(compression=None))
+    return read_folder(spark, done.path, "csv").select("doc_id", "text", "lang", "n_chars")
+
+
 @query("SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name FROM customer")
 def csv_union_by_position(spark, sf):
     """Files with other headers, read together under the header of the first."""

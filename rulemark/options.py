@@ -82,8 +82,11 @@ class ReadOptions:
     skip_rows: int = 0
     #: False: a malformed line fails the job; True: it is padded or cut to the schema.
     ignore_errors: bool = False
-    #: quoted fields may contain line breaks; False makes plain files splittable.
+    #: quoted fields may contain line breaks.
     multi_line: bool = True
+    #: read a plain file by many tasks even so (UTF-8, lines that end with a line feed);
+    #: False reads it in one task.
+    split_quoted: bool = True
     include_subfolders: bool = False
 
 

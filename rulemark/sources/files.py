@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from rulemark.errors import SettingsError
 from rulemark.functions.names import clean_names
 from rulemark.options import ReadOptions
+from rulemark.sources.quoted import LINE, quoted_records
 from rulemark.sources.storage import any_path
 
 BOM = "\ufeff"
@@ -20,6 +21,8 @@ RANK, PART, ROW = LOAD_ORDER = ("_src_rank", "_src_part", "_src_row")
 FILE = "_src_file"
 #: Stands for a quoted empty field while reading, to tell it from a missing one.
 QUOTED_EMPTY = "\u0001\u0001"
+#: Extensions of packed files.
+PACKED = (".gz", ".bz2", ".zst", ".xz", ".lz4", ".snappy", ".deflate")
 #: Up to this many files the table of first lines is broadcast.
 _MANY_FILES = 100_000
 
@@ -90,6 +93,8 @@ def read_files(
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     if options.skip_rows:
         raw = _read_skipping(spark, location, schema, options, reader_options)
+    elif _splits(location, options, reader_options):
+        raw = _read_quoted(spark, location, schema, options, reader_options)
     else:
         raw = (
             spark.read.options(**csv_options(options), **reader_options)
@@ -142,6 +147,28 @@ def _lines(spark: SparkSession, location: str, options: ReadOptions, reader_opti
     return numbered.withColumn("_line", F.when(F.col("_block") == 0, F.col(ROW) - F.col("_first")))
 
 
+def _splits(location: str, options: ReadOptions, reader_options: dict) -> bool:
+    """Can files be divided though their fields may hold line breaks? Packed ones cannot."""
+    plain = not str(reader_options.get("pathGlobFilter", location)).endswith(PACKED)
+    readable = options.encoding.lower().replace("-", "") == "utf8" and len(options.separator) == 1 and options.separator != '"'
+    return options.multi_line and options.split_quoted and plain and readable
+
+
+def _parsed(rows: DataFrame, schema: T.StructType, options: ReadOptions) -> DataFrame:
+    """Records parsed as ``r``."""
+    parse = {k: str(v) for k, v in csv_options(options).items() if k not in ("encoding", "inferSchema")}
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+    return rows.withColumn("r", F.from_csv("value", F.lit(fields), {**parse, "emptyValue": QUOTED_EMPTY}))
+
+
+def _read_quoted(spark, location, schema, options, reader_options) -> DataFrame:
+    """Fields with line breaks, by many tasks per file."""
+    records = quoted_records(spark, location, options.separator, reader_options)
+    if options.has_header:
+        records = records.filter("NOT head")
+    return _parsed(records, schema, options).select("r.*", FILE, PART, F.col(LINE).alias(ROW))
+
+
 def _read_skipping(spark, location, schema, options, reader_options) -> DataFrame:
     """Skip the first lines of every file; a field then cannot hold a line break."""
     skipped = options.skip_rows + (1 if options.has_header else 0)
