@@ -44,11 +44,14 @@ CONTAINS = [rule(1, "a", "p", 0, "gear", "x"), rule(2, "a", "p", 0, "d b", "y"),
 PREFIX = [rule(1, "a", "s", 0, "red", "x"), rule(2, "a", "s", 0, "small widget", "y"), rule(3, "a", "s", 1, "brand#2", "z"), rule(4, "a", "s", 0, "o", "o")]
 SUFFIX = [rule(1, "a", "e", 0, "bolt", "x"), rule(2, "a", "e", 0, "large widget", "y"), rule(3, "a", "e", 1, "5", "z"), rule(4, "a", "e", 2, "rd", "o")]
 WILDCARD = [rule(1, "a", "f", 0, "%e_r", "x"), rule(2, "a", "p", 0, "o_d%n", "y"), rule(3, "a", "s", 1, "_rand#_", "z"), rule(4, "a", "e", 1, "#__", "o"), rule(5, "a", "f", 2, "_____", "five"), rule(6, "a", "f", 0, "%", "any")]
+#: No literal, or only short ones: keys by length and place.
+BLANKS = [rule(1, "a", "f", 0, "_" * 9, "x"), rule(2, "a", "f", 0, "_" * 11 + "%", "y"), rule(3, "a", "f", 1, "_r____#_", "z"), rule(4, "a", "s", 0, "__g_____", "s"), rule(5, "a", "f", 2, "%_____%__", "m"), rule(6, "a", "f", 0, "_e_ ____", "r"), rule(7, "a", "f", 0, "", "none"), rule(8, "a", "e", 2, "_" * 40, "long")]
 _register("match_full", FULL)
 _register("match_contains", CONTAINS)
 _register("match_prefix", PREFIX)
 _register("match_suffix", SUFFIX)
 _register("match_wildcard", WILDCARD)
+_register("match_blanks", BLANKS)
 _register("match_customers", [rule(1, "a", "e", 0, "42", "x"), rule(2, "a", "p", 0, "#0000000", "y"), rule(3, "a", "f", 1, "Building", "z")], "customer", "c_custkey", ["c_name", "c_mktsegment"])
 _register("match_ascii_case", [rule(1, "a", "p", 0, "thon", "x"), rule(2, "a", "p", 0, "été", "y"), rule(3, "a", "p", 0, "É", "z"), rule(4, "a", "s", 0, "über", "o"), rule(5, "a", "p", 0, "apache license", "l")], "documents", "doc_id", ["text"])
 _register("match_generated_keys", [*CONTAINS, *[(n, *r[1:]) for n, r in enumerate(WILDCARD, 6)]], probe_limit=0)
@@ -74,9 +77,9 @@ SELECT s_suppkey AS n, 'a' AS action, CASE WHEN s_nationkey < 8 THEN 'p' WHEN s_
 FROM supplier"""
 
 
-def _many(spark, sf, **options):
+def _many(spark, sf, by_data=False, **options):
     raw = spark.sql(MANY.replace("FROM supplier", "FROM {supplier}"), supplier=table(spark, sf, "supplier"))
-    rules = compile_rules(raw, ["c_name"], ["n"], LabelOptions(**options))
+    rules = compile_rules(raw, ["c_name"], ["n"], LabelOptions(**options), table(spark, sf, "customer") if by_data else None)
     hits = match_rules(table(spark, sf, "customer"), "c_custkey", rules)
     return hits
 
@@ -97,6 +100,12 @@ def match_many_rules_shuffled(spark, sf):
     return _many(spark, sf, probe_limit=0, broadcast_bytes=0)
 
 
+@query(MANY_SQL)
+def match_many_rules_by_data(spark, sf):
+    """The same with the runs of characters that are rare in the data as keys."""
+    return _many(spark, sf, by_data=True, probe_limit=0)
+
+
 MIXED = [rule(1, "a", "p", 0, "gear", "x"), rule(2, "r", "fts", 0, "red bolt", "y"), rule(3, "d", "fts", 0, "(widget OR anvil)", None), rule(4, "a", "s", 0, "red", "z")]
 TEXT_HITS = f"""SELECT p_partkey AS id, 2 AS rule_id FROM part WHERE ' ' || array_to_string({tokens_sql('p_name')}, ' ') || ' ' LIKE '% red bolt %'
 UNION ALL SELECT p_partkey, 3 FROM part WHERE list_has_any({tokens_sql('p_name')}, ['widget', 'anvil'])"""

@@ -58,11 +58,14 @@ def compile_rules(
     columns: list[str],
     order_by: list[str],
     options: LabelOptions = LabelOptions(),
+    data: DataFrame | None = None,
 ) -> CompiledRules:
     """Compile ``raw`` for a table with ``columns``.
 
     ``order_by`` gives the rule order and must be unique; the other columns of
-    ``raw`` are the dictionary, taken by position.
+    ``raw`` are the dictionary, taken by position. With ``data`` (the table, or a part of it that is
+    like it) rules are keyed by what is rare there, for one more scan of the columns they
+    name; without, by what is rare among the rules. The hits are the same.
     """
     at = options.rule_columns
     names = [c for c in raw.columns if c not in order_by]
@@ -115,7 +118,9 @@ def compile_rules(
         searched.append(clauses.select("column_name"))
         parts.append(keys.token_clauses(clauses))
     searched, rejected, parts = (reduce(DataFrame.unionByName, x) for x in (searched, rejected, parts))
-    keyed = keep(keys.choose_keys(keep(parts.filter(in_table)), seen["n"]))
+    parts = keep(parts.filter(in_table))
+    sketch = None if data is None else _sketch(data, parts, options)
+    keyed = keep(keys.choose_keys(parts, seen["n"], sketch))
 
     found = {row[0] for row in searched.filter(in_table).distinct().collect()}
     key_classes, size = _measure(keyed, options.probe_limit)
@@ -135,6 +140,17 @@ def compile_rules(
     )
 
 
+def _sketch(data: DataFrame, clauses: DataFrame, options: LabelOptions) -> DataFrame:
+    """How many values of the data hold the keys that clauses may choose among."""
+    from rulemark.operators.matching import values_of
+
+    several = clauses.filter(F.size("options") > 1).select("column_name", F.explode("options.class").alias("class")).distinct()
+    classes: dict[str, list[str]] = {}
+    for row in sorted(several.collect()):  # a few classes of each column
+        classes.setdefault(row["column_name"], []).append(row["class"])
+    return keys.key_sketch(values_of(data, classes, options.case), classes)
+
+
 def local_copy(df: DataFrame) -> DataFrame:
     """The same rows as a local table in one partition; only for data measured to be small."""
     return df.sparkSession.createDataFrame(df.toArrow(), df.schema).coalesce(1)

@@ -13,8 +13,17 @@ g<k>   one run of k characters      all its runs of k characters
 t      one token                    all its tokens
 x<k>   first k characters of a      first k characters of all its tokens
        token given as prefix
-any    nothing to hold on to        one key for every value
+l      length of a pattern of       its length
+       blanks (``_``) alone
+v      length, place and character  length, place and character of each of
+       of a pattern without ``%``   its characters
+       whose runs are short
+m      least length of a pattern    0 and the powers of 2 up to its length
+       of blanks and ``%``, down to
+       a power of 2
 ====== ============================ ==========================================
+
+Only a pattern that every value matches (``%``) has a key that every value holds.
 """
 
 from __future__ import annotations
@@ -30,6 +39,8 @@ GRAM_SIZES = (3, 2, 1)
 PREFIX_SIZES = (8, 4, 2, 1)
 #: Keys counted to find the rarest, a bound of what is broadcast for it.
 COUNTED = 100_000
+#: Cells of the sketch that counts keys in the data, a bound of its rows.
+SKETCH_CELLS = 1 << 18
 
 OPTION = "struct<alternative:int,class:string,key:string>"
 CLAUSE = ["rule_id", "clause_no", "n_clauses", "column_name", "kind", "needle",
@@ -43,6 +54,11 @@ def _option(klass: Column, key: Column, alternative: Column | None = None) -> Co
     )
 
 
+def _powers(most: Column) -> Column:
+    """0 and the powers of 2 up to a number."""
+    return F.filter(F.array(*[F.lit(n) for n in (0, *(1 << k for k in range(31)))]), lambda n: n <= most)
+
+
 def _size_of(value: Column, sizes: tuple[int, ...]) -> Column:
     """The largest of ``sizes`` that fits the value, 0 if none fits."""
     return F.array_max(F.filter(F.array(*map(F.lit, (*sizes, 0))), lambda k: k <= F.length(value)))
@@ -61,8 +77,15 @@ def like_clauses(like_rules: DataFrame) -> DataFrame:
         F.when(wild, "w").otherwise(F.col("match")).alias("kind"),
         F.when(wild, text.like_literal(F.col("pattern"))).otherwise(upper_term).alias("needle"),
         F.when(wild, F.array_max(runs)["run"]).otherwise(upper_term).alias("literal"),
+        "pattern",
     )
     literal, kind = F.col("literal"), F.col("kind")
+    pattern = F.upper("pattern")
+    blanks = F.length(F.regexp_replace("pattern", "[^_]", ""))
+    fixed_length = (kind == "w") & ~F.contains(pattern, F.lit("%"))
+    first_letter = F.length(F.regexp_extract("pattern", "^(_*)", 1)) + 1
+    place = F.concat_ws(":", F.length(pattern), first_letter, F.substring(pattern, first_letter, F.lit(1)))
+    power = F.array_max(_powers(blanks))
     at_edge = kind.isin(STARTS, ENDS)
     sized = held.withColumn(
         "size",
@@ -73,7 +96,9 @@ def like_clauses(like_rules: DataFrame) -> DataFrame:
     size = F.col("size")
     edge = F.when(kind == STARTS, F.left(literal, size)).otherwise(F.right(literal, size))
     options = (
-        F.when(size == 0, F.array(_option(F.lit("any"), F.lit(""))))
+        F.when((size == 0) & fixed_length, F.array(_option(F.lit("l"), F.length(pattern).cast("string"))))
+        .when(size == 0, F.array(_option(F.lit("m"), power.cast("string"))))
+        .when(fixed_length & (size < GRAM_SIZES[0]), F.array(_option(F.lit("v"), place)))
         .when(kind == FULL, F.array(_option(F.lit("f"), literal)))
         .when(at_edge, F.array(_option(F.concat(kind, size), edge)))
         .otherwise(
@@ -146,9 +171,38 @@ def token_clauses(clauses: DataFrame) -> DataFrame:
     )
 
 
-def choose_keys(clauses: DataFrame, n_rules: int) -> DataFrame:
+def cell(klass: Column, key: Column, column: Column) -> Column:
+    """The cell of the sketch that counts a key."""
+    return F.pmod(F.xxhash64(column, klass, key), F.lit(SKETCH_CELLS)).cast("int")
+
+
+def _cells_of(klass: str) -> Column:
+    """The cells of a value's keys."""
+    tagged = value_keys(F.col("folded"), F.col("padded"), klass, None)
+    key = lambda t: F.substr(t, F.lit(len(klass) + 2))
+    return F.array_distinct(F.transform(tagged, lambda t: cell(F.lit(klass), key(t), F.col("column_name"))))
+
+
+def key_sketch(values: DataFrame, classes: dict[str, list[str]]) -> DataFrame:
+    """``cell, held``: how many values hold the keys of a cell, in one scan of ``values``.
+
+    Keys share at most ``SKETCH_CELLS`` cells, so the table is bounded whatever the data; it is merged
+    by adding. Keys of one cell are counted together: a count is never too small.
+    """
+    none, found = F.array().cast("array<int>"), F.array().cast("array<int>")
+    for name, in_use in classes.items():
+        arrays = []
+        for klass in in_use:
+            arrays.append(F.coalesce(_cells_of(klass), none))
+        found = F.when(F.col("column_name") == name, F.concat(*arrays)).otherwise(found)
+    return values.select(F.explode(found).alias("cell")).groupBy("cell").agg(F.count("*").alias("held"))
+
+
+def choose_keys(clauses: DataFrame, n_rules: int, sketch: DataFrame | None = None) -> DataFrame:
     """One row per clause and key, with the rarest option of each alternative as key.
 
+    Rarest is what the fewest values of the data hold by a ``sketch``, then what the fewest rules share.
+
     Only options shared by more than a thousandth of the rules are counted, and by
     more than one of ``COUNTED`` parts of all options: the count table has fewer than
     ``COUNTED`` rows, whatever the length of the terms, and is broadcast.
@@ -160,8 +214,13 @@ def choose_keys(clauses: DataFrame, n_rules: int) -> DataFrame:
     frequent = options.groupBy(*by_key).agg(F.count("*").alias("n"))
     share = frequent.agg(F.sum("n")).scalar() / F.lit(COUNTED)
     frequent = frequent.filter((F.col("n") > F.lit(n_rules // 1000)) & (F.col("n") > share))
+    held = F.lit(0)
+    if sketch is not None:
+        options = options.withColumn("cell", cell(F.col("class"), F.col("key"), F.col("column_name")))
+        options = options.join(F.broadcast(sketch), "cell", "left").drop("cell")  # at most SKETCH_CELLS rows
+        held = F.coalesce("held", F.lit(0))
     rank = F.struct(
-        F.coalesce("n", F.lit(0)), F.col("class").startswith("x"), F.xxhash64("key"), F.col("key")
+        held, F.coalesce("n", F.lit(0)), F.col("class").startswith("x"), F.xxhash64("key"), F.col("key")
     )
     chosen = (
         options.join(F.broadcast(frequent), by_key, "left")
@@ -186,9 +245,15 @@ def value_keys(folded: Column, padded: Column, klass: str, probes: list[str] | N
     for each of them; otherwise every key it holds is generated.
     """
     tagged = lambda key: F.concat(F.lit(f"{klass}:"), key)
-    kind, size = (klass, 0) if klass in ("f", "any", "t") else (klass[0], int(klass[1:]))
-    if kind == "any":
-        return F.array(F.lit("any:"))
+    kind, size = klass[0], int(klass[1:] or 0)
+    if kind == "l":
+        return F.array(tagged(F.length(folded).cast("string")))
+    if kind == "m":
+        return F.transform(_powers(F.length(folded)), lambda p: tagged(p.cast("string")))
+    if kind == "v":
+        at = F.sequence(F.lit(1), F.length(folded))
+        keys = F.transform(at, lambda p: tagged(F.concat_ws(":", F.length(folded), p, F.substring(folded, p, F.lit(1)))))
+        return F.when(F.length(folded) > 0, keys)
     if kind == "f":
         return F.array(tagged(folded))
     if kind in "se":

@@ -25,16 +25,21 @@ def values_by_column(snapshot: DataFrame, id_column: str, rules: CompiledRules)
     ``folded`` is the value for LIKE rules, ``padded`` its tokens for text rules;
     each only where rules need it.
     """
+    return values_of(snapshot, rules.key_classes, rules.options.case, F.col(f"`{id_column}`").alias("id"))
+
+
+def values_of(rows: DataFrame, key_classes: dict, case: str, *kept: Column) -> DataFrame:
+    """``kept, column_name, folded, padded`` of the columns in ``key_classes``, with what their classes need."""
     per_column = []
     nothing = F.lit(None).cast("string")
-    for name, classes in rules.key_classes.items():
+    for name, classes in key_classes.items():
         value = F.col(f"`{name}`").cast("string")
         like = any(not _is_text(k) for k in classes)
         words = any(_is_text(k) for k in classes)
         per_column.append(
             F.struct(
                 F.lit(name).alias("column_name"),
-                (text.fold_case(value, rules.options.case) if like else nothing).alias("folded"),
+                (text.fold_case(value, case) if like else nothing).alias("folded"),
                 (text.pad_tokens(text.tokens(value)) if words else nothing).alias("padded"),
             )
         )
@@ -42,9 +47,8 @@ def values_by_column(snapshot: DataFrame, id_column: str, rules: CompiledRules)
         per_column.append(
             F.struct(nothing.alias("column_name"), nothing.alias("folded"), nothing.alias("padded"))
         )
-    tall = snapshot.select(F.col(f"`{id_column}`").alias("id"), F.explode(F.array(*per_column)).alias("v")).select(
-        "id", "v.*"
-    )
+    exploded = rows.select(*kept, F.explode(F.array(*per_column)).alias("v"))
+    tall = exploded.select(*[c for c in exploded.columns if c != "v"], "v.*")
     return tall.filter(F.col("folded").isNotNull() | F.col("padded").isNotNull())
 
 
@@ -122,6 +126,13 @@ def pair_matches(rules: CompiledRules) -> Column:
     return result
 
 
+def candidates(values: DataFrame, rules: CompiledRules) -> DataFrame:
+    """The pairs of a value and a clause that meet by a key, before they are checked: what keys cost."""
+    probes = values.select("id", "column_name", F.explode(_keys_of(rules)).alias("block_key"))
+    keyed = rules.keyed.select("column_name", "block_key", "rule_id", "clause_no")
+    return join_many(probes, keyed, ["column_name", "block_key"], rules.options.hot_id_rows).select("id", "rule_id", "clause_no")
+
+
 def match_clauses(values: DataFrame, rules: CompiledRules) -> DataFrame:
     """``id, rule_id, clause_no, n_clauses`` of every clause a value satisfies."""
     result = ["id", "rule_id", "clause_no", "n_clauses"]

@@ -43,7 +43,7 @@ def latest_per_key(
     if date is not None:
         dates = F.col(quoted(date))
         # a row without a tie-break loses to rows with one, whatever its type
-        order = [dates] + [F.when(dates.isNull(), -b).otherwise(b) for b in backwards]
+        order = [dates] + [F.when(dates.isNull(), _opposite(rows, c, b)).otherwise(b) for c, b in zip(tiebreak, backwards)]
     # one partial aggregate per task: a hot key leaves each task as one row
     fields = [*[o.alias(f"o{i}") for i, o in enumerate(order)], *content, F.lit(0).alias("last")]
     aggregates = [F.max(F.struct(*fields)).alias("_best")]
@@ -55,21 +55,28 @@ def latest_per_key(
 
 
 def _reversed(df: DataFrame, column: str) -> Column | None:
-    """A number that falls as the column rises; None if the type has none."""
+    """A number that falls as the column rises; None if the type has none.
+
+    Flipping the bits of a whole number reverses its order, without an overflow.
+    """
     kind, value = df.schema[column].dataType, F.col(quoted(column))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(value.cast("timestamp"))
+        return F.bitwise_not(F.unix_micros(value.cast("timestamp")))
     if isinstance(kind, T.DateType):
-        return -F.unix_date(value)
-    if isinstance(kind, T.LongType):
-        return -value.cast("decimal(20,0)")  # the smallest number has no opposite among longs
+        return F.bitwise_not(F.unix_date(value))
     if isinstance(kind, T.IntegralType):
-        return -value.cast("bigint")
+        return F.bitwise_not(value)
     if isinstance(kind, T.NumericType):
         return -value
     return None
 
 
+def _opposite(df: DataFrame, column: str, backwards: Column) -> Column:
+    """A number of the type of ``_reversed`` that rises with the column."""
+    fraction = isinstance(df.schema[column].dataType, T.NumericType) and not isinstance(df.schema[column].dataType, T.IntegralType)
+    return -backwards if fraction else F.bitwise_not(backwards)
+
+
 def _latest_by_window(df, key, columns, date, tiebreak):
     ties = [F.col(quoted(c)) for c in tiebreak]
     first, last = [c.asc_nulls_last() for c in ties], []

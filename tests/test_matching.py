@@ -7,7 +7,7 @@ from interpreter import hits, labels
 from rulemark.operators import skew
 from rulemark.operators.actions import apply_actions, resolve
 from rulemark.operators.compiled import compile_rules
-from rulemark.operators.matching import match_rules, with_payload
+from rulemark.operators.matching import candidates, match_rules, values_by_column, with_payload
 from rulemark.options import LabelOptions
 from pyspark.sql import functions as F
 
@@ -228,3 +228,43 @@ def test_hot_keys_are_bounded_by_their_share(spark, monkeypatch):
     assert len(many) == 60 and max(r["_parts"] for r in many) == 82
     monkeypatch.setattr(skew, "HOT_KEYS", 10)
     assert [tuple(r) for r in skew.hot_keys(rows, ["k.x"], 5).collect()] == [(0, 82)]
+
+
+def test_patterns_without_a_literal_have_keys_of_their_own(spark):
+    """No key that holds a whole column, but for a pattern that all values match."""
+    import re
+
+    terms = ["_____", "__", "_%_%_", "%____________%", "%", "_a_", "a_", "__ü__", "_", "", "x_%"]
+    raw = spark.createDataFrame([(i, "a", "f", "0", None, t, "x") for i, t in enumerate(terms)], "n int, action string, match string, search string, note string, term string, cat string")
+    rules = compile_rules(raw, ["v"], ["n"])
+    rng = random.Random(1)
+    values = ["", *("".join(rng.choice("abxü 😀") for _ in range(rng.randint(0, 20))) for _ in range(400))]
+    data = spark.createDataFrame(list(enumerate(values)), "k int, v string")
+    upper = lambda v: "".join(c.upper() if c in "abx" else c for c in v)  # noqa: E731  a-z only
+    fits = lambda v, t: re.fullmatch("".join({"_": ".", "%": ".*"}.get(c, re.escape(c)) for c in t.upper()), upper(v), re.S)
+    wanted = {(k, n + 1) for k, v in enumerate(values) for n, t in enumerate(terms) if fits(v, t)}
+    assert {tuple(r) for r in match_rules(data, "k", rules).collect()} == wanted
+    classes = {(r["rule_id"] - 1, r["class"]) for r in rules.keyed.collect()}
+    kinds = {terms[n]: c for n, c in classes}
+    assert kinds["_____"] == "l" and kinds["_a_"] == "v" and kinds["_%_%_"] == "m" and kinds["%"] == "m"
+    pairs = candidates(values_by_column(data, "k", rules), rules).groupBy("rule_id").count().collect()
+    met = {terms[r["rule_id"] - 1]: r["count"] for r in pairs}
+    assert met["%"] == len(values) and met["_____"] == sum(len(v) == 5 for v in values)
+    assert met["%____________%"] <= sum(len(v) >= 8 for v in values)
+
+
+def test_keys_that_are_rare_in_the_data(spark):
+    """Each rule has a word of its own that most values hold, and a word that is common among rules but rare in the data."""
+    raw = spark.createDataFrame(
+        [(i, "a", "p", "0", None, f"word{i} zq", "x") for i in range(10, 40)] + [(40, "a", "fts", "0", None, "word11 zq", "y")],
+        "n int, action string, match string, search string, note string, term string, cat string",
+    )
+    every = " ".join(f"word{i}" for i in range(10, 40))
+    rows = [(i, every) for i in range(300)] + [(300 + i, f"word{10 + i} zq x") for i in range(15)]
+    data = spark.createDataFrame(rows, "k int, v string")
+    options = LabelOptions(probe_limit=0)
+    plain, by_data = compile_rules(raw, ["v"], ["n"], options), compile_rules(raw, ["v"], ["n"], options, data)
+    hits = [{tuple(r) for r in match_rules(data, "k", r).collect()} for r in (plain, by_data)]
+    assert hits[0] == hits[1] and len(hits[0]) == 16
+    cost = [candidates(values_by_column(data, "k", r), r).count() for r in (plain, by_data)]
+    assert cost[0] > 5000 and cost[1] < 100
