@@ -48,7 +48,9 @@ def action_delete(spark, sf):
 
 @query(f"{RESOLVED} SELECT p_partkey, r_category AS category, r_tags AS tags FROM part LEFT JOIN res ON id = p_partkey")
 def action_replace(spark, sf):
-    return actions.apply_replace(_parts(spark, sf), "p_partkey", _paid(spark, sf), LABELS)
+    c = compiled(spark, RULES, LABELS, COLUMNS)
+    hits = with_payload(match_rules(table(spark, sf, "part"), "p_partkey", c), c)
+    return actions.apply_replace(_parts(spark, sf), "p_partkey", hits, LABELS, c)
 
 
 @query(f"{PAID} SELECT id, CAST(max(rule_id) AS INT) AS rule_id, arg_max(category, rule_id) FILTER (WHERE action = 'r') AS category FROM paid WHERE action = 'r' GROUP BY id".replace(" FILTER (WHERE action = 'r')", ""))

@@ -6,6 +6,7 @@ Hits come with the action and labels of their rule (``matching.with_payload``).
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from rulemark.functions.names import free_name, quoted
 from rulemark.operators.rules import ADD, DELETE, REPLACE
 
+if TYPE_CHECKING:
+    from rulemark.operators.compiled import CompiledRules
+
 TEXT_LIST = "array<string>"
 
 
@@ -34,28 +38,32 @@ def resolve(
     separator: str = ", ",
     add_mode: str = "tags",
     actions: Iterable[str] = (ADD, REPLACE, DELETE),
+    rules: CompiledRules | None = None,
 ) -> DataFrame:
     """``id, is_deleted, labels...`` of every id with hits, in one aggregation.
 
     REPLACE: per label the value of the last rule that has one. ADD: the sorted
-    distinct tags, in place of that value ("tags") or added to it ("append").
+    distinct tags, in place of that value ("tags") or added to it ("append"). With ``rules`` of
+    a small dictionary only the numbers of rules are aggregated, in place and without
+    sorting, and their values are looked up afterwards.
     """
-    found = _gather(hits, label_columns, actions)
+    found = _gather(hits, label_columns, actions, rules)
     final = [
         _written(F.col(f"r{i}"), F.col(f"t{i}"), separator, add_mode).alias(c) for i, c in enumerate(label_columns)
     ]
     return found.select("id", "is_deleted", *final)
 
 
-def _gather(hits: DataFrame, label_columns: list[str], actions: Iterable[str]) -> DataFrame:
+def _gather(hits: DataFrame, label_columns: list[str], actions: Iterable[str], rules: CompiledRules | None = None) -> DataFrame:
     """``id, is_deleted``, and of each label ``r<i>``, what it is replaced by, and ``t<i>``, its tags."""
+    by_number = rules is not None and rules.broadcastable and REPLACE in actions
     aggregates = [F.max(F.col("action") == DELETE).alias("is_deleted")]
     unused = []
     for i, name in enumerate(label_columns):
         value = _label(name)
         if REPLACE in actions:
-            replaces = (F.col("action") == REPLACE) & value.isNotNull()
-            aggregates.append(F.max_by(value, F.when(replaces, F.col("rule_id"))).alias(f"r{i}"))
+            number = F.when((F.col("action") == REPLACE) & value.isNotNull(), F.col("rule_id"))
+            aggregates.append(F.max(number).alias(f"n{i}") if by_number else F.max_by(value, number).alias(f"r{i}"))
         else:
             unused.append(F.lit(None).cast("string").alias(f"r{i}"))
         if ADD in actions:
@@ -63,7 +71,13 @@ def _gather(hits: DataFrame, label_columns: list[str], actions: Iterable[str]) -
             aggregates.append(F.collect_set(F.when(adds, value)).alias(f"t{i}"))
         else:
             unused.append(F.array().cast(TEXT_LIST).alias(f"t{i}"))
-    return hits.groupBy("id").agg(*aggregates).select("*", *unused)
+    found = hits.groupBy("id").agg(*aggregates)
+    if by_number:
+        table = rules.usable().rules.filter(F.col("action") == REPLACE)
+        for i, name in enumerate(label_columns):
+            values = table.filter(_label(name).isNotNull()).select(F.col("rule_id").alias(f"n{i}"), _label(name).alias(f"r{i}"))
+            found = found.join(F.broadcast(values), f"n{i}", "left").drop(f"n{i}")  # measured to be small
+    return found.select("*", *unused)
 
 
 def _written(current: Column, tags: Column, separator: str, add_mode: str) -> Column:
@@ -87,9 +101,10 @@ def last_rule(hits: DataFrame) -> DataFrame:
     return hits.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def apply_replace(rows: DataFrame, key: str, hits: DataFrame, label_columns: list[str]) -> DataFrame:
+def apply_replace(rows: DataFrame, key: str, hits: DataFrame, label_columns: list[str], rules: CompiledRules | None = None) -> DataFrame:
     """Set labels from REPLACE rules; later rules win, NULL labels change nothing."""
-    return _override(rows, key, resolve(hits.filter(F.col("action") == REPLACE), label_columns, actions=(REPLACE,)), label_columns)
+    replacing = hits.filter(F.col("action") == REPLACE)
+    return _override(rows, key, resolve(replacing, label_columns, actions=(REPLACE,), rules=rules), label_columns)
 
 
 def _override(rows: DataFrame, key: str, values: DataFrame, label_columns: list[str]) -> DataFrame:

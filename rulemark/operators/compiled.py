@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -12,7 +12,7 @@ from rulemark.errors import RuleError
 from rulemark.functions.names import clean_names
 from rulemark.operators import keys, rules as r
 from rulemark.options import LabelOptions
-from rulemark.sources.storage import delete_folder, materialize
+from rulemark.sources.storage import delete_folder, materialize, shared_folder
 
 #: Dictionaries up to this size are compiled once and kept as a local table.
 LOCAL_RULES = 10_000
@@ -42,16 +42,38 @@ class CompiledRules:
     #: kinds of check in use, see matching.pair_matches
     kinds: frozenset[str]
     single_clause: bool
+    #: the largest number of a clause in its rule
+    most_clauses: int
     broadcastable: bool
     options: LabelOptions
     #: folders that hold the tables of a dictionary too large to be kept locally
     stored: tuple[str, ...] = ()
 
+    #: says so once the rules are released
+    _state: dict = field(default_factory=dict, repr=False, compare=False)
+
     def release(self) -> None:
-        """Delete the stored tables; the rules cannot be used afterwards."""
+        """Give up the rules and delete what is stored of them: they cannot be used afterwards.
+
+        The same for a dictionary of any size; who compiles rules releases them when the last result is
+        written, or uses ``with compile_rules(...) as rules``.
+        """
+        self._state["released"] = True
         for path in self.stored:
             delete_folder(self.rules.sparkSession, path)
 
+    def usable(self) -> CompiledRules:
+        """The rules, unless they are released."""
+        if self._state:
+            raise RuleError("these rules are released")
+        return self
+
+    def __enter__(self) -> CompiledRules:
+        return self.usable()
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
 
 def compile_rules(
     raw: DataFrame,
@@ -66,7 +88,11 @@ def compile_rules(
     ``raw`` are the dictionary, taken by position. With ``data`` (the table, or a part of it that is
     like it) rules are keyed by what is rare there, for one more scan of the columns they
     name; without, by what is rare among the rules. The hits are the same.
+
+    A dictionary of any size needs the folder in ``spark.checkpoint.dir`` on a cluster, as a long one is
+    stored there, and its owner releases it (``CompiledRules.release``).
     """
+    shared_folder(raw.sparkSession)
     at = options.rule_columns
     names = [c for c in raw.columns if c not in order_by]
     control, payload = r.split_columns(names, at)
@@ -133,6 +159,7 @@ def compile_rules(
         key_classes={c: key_classes[c] for c in columns if c in key_classes},
         actions=frozenset(a for a in (r.ADD, r.REPLACE, r.DELETE) if seen[a]),
         kinds=frozenset(size["kinds"]),
+        most_clauses=size["last"],
         single_clause=size["clauses"] <= 1 and not size["repeated"],
         broadcastable=max(size["bytes"], seen["bytes"]) <= options.broadcast_bytes,
         options=options,
@@ -181,6 +208,7 @@ def _measure(keyed: DataFrame, probe_limit: int):
         F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
         F.collect_set("kind").alias("kinds"),
         F.coalesce(F.max("n_clauses"), F.lit(0)).alias("clauses"),
+        F.coalesce(F.max("clause_no"), F.lit(0)).alias("last"),
         F.coalesce(F.max(F.size("any_of") > 0), F.lit(False)).alias("repeated"),
     ).first()
     return classes, size

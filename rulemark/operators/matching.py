@@ -153,19 +153,34 @@ def match_clauses(values: DataFrame, rules: CompiledRules) -> DataFrame:
 
 def match_rules(snapshot: DataFrame, id_column: str, rules: CompiledRules) -> DataFrame:
     """``hits(id, rule_id)``: every rule each row of a snapshot (one row per id) matches."""
-    if rules.options.dedupe_values:
+    if rules.usable().options.dedupe_values:
         clauses = _match_distinct(snapshot, id_column, rules)
     else:
         clauses = match_clauses(values_by_column(snapshot, id_column, rules), rules)
     if rules.single_clause:
         # such a rule has one key, and the keys of a value differ: each pair comes up once
         return clauses.select("id", "rule_id")
-    return (
-        clauses.groupBy("id", "rule_id")
-        .agg(F.count_distinct("clause_no").alias("n"), F.max("n_clauses").alias("n_clauses"))
-        .filter(F.col("n") == F.col("n_clauses"))
-        .select("id", "rule_id")
-    )
+    return all_clauses(clauses, rules.most_clauses)
+
+
+#: Clauses whose numbers fit the bits of a long.
+MASK = 63
+
+
+def all_clauses(clauses: DataFrame, most: int) -> DataFrame:
+    """``id, rule_id`` of the rules of which all clauses (numbered from 1) are satisfied.
+
+    Clauses are bits of a mask, so repeated ones count once without a distinct count; rules of more than
+    ``MASK`` clauses have several masks.
+    """
+    bit = F.expr(f"shiftleft(1L, cast((clause_no - 1) % {MASK} as int))")
+    part = [] if most <= MASK else [F.floor((F.col("clause_no") - 1) / MASK).alias("part")]
+    masks = clauses.groupBy("id", "rule_id", *part).agg(F.bit_or(bit).alias("mask"), F.max("n_clauses").alias("n_clauses"))
+    held = F.bit_count("mask")
+    if part:
+        masks = masks.groupBy("id", "rule_id").agg(F.sum(held).alias("held"), F.max("n_clauses").alias("n_clauses"))
+        held = F.col("held")
+    return masks.filter(held == F.col("n_clauses")).select("id", "rule_id")
 
 
 def _match_distinct(snapshot: DataFrame, id_column: str, rules: CompiledRules) -> DataFrame:
@@ -194,7 +209,7 @@ def _match_distinct(snapshot: DataFrame, id_column: str, rules: CompiledRules) -
 
 def with_payload(hits: DataFrame, rules: CompiledRules) -> DataFrame:
     """Hits with the action and labels of their rule."""
-    payload = rules.rules.select("rule_id", "action", "labels")
+    payload = rules.usable().rules.select("rule_id", "action", "labels")
     return join_small(hits, payload, "rule_id", rules.broadcastable, rules.options.hot_id_rows)
 
 

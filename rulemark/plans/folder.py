@@ -63,7 +63,7 @@ def resolved_snapshot(
     # then the same shuffle and made in one scan
     snapshot = snapshot.filter(F.col(ROWS) > 0)
     hits = with_payload(match_rules(snapshot, id_column, rules), rules)
-    resolved = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
+    resolved = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions, rules)
     resolved = resolved.withColumnsRenamed({"id": id_column, "is_deleted": DELETED})
     joined = snapshot.join(resolved, id_column, "left")
     return joined.withColumn(DELETED, F.coalesce(DELETED, F.lit(False)))

@@ -19,7 +19,7 @@ from rulemark.operators.sync import unmapped_rows
 
 @dataclass(frozen=True)
 class LabelResult:
-    """Results of a labelling job, all lazy."""
+    """Results of a labelling job, all lazy: they need the rules until they are written."""
 
     #: all rows of ids that were not deleted, with their labels
     labelled: DataFrame
@@ -91,12 +91,15 @@ def label_table(
     date_column: str | None = None,
     tiebreak: tuple[str, ...] = (),
 ) -> LabelResult:
-    """Label ``data`` by the rules that match the latest row of each id."""
+    """Label ``data`` by the rules that match the latest row of each id.
+
+    The rules are the caller's: release them when the results are written.
+    """
     options = rules.options
     snapshot = snapshot_of(data, rules, id_column, date_column, tiebreak)
     hits = match_rules(snapshot, id_column, rules)
     paid = with_payload(hits, rules)
-    resolved = resolve(paid, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
+    resolved = resolve(paid, rules.label_columns, options.add_separator, options.add_mode, rules.actions, rules)
     # both have one row per id and are partitioned by it
     deleted = free_name("_is_deleted", snapshot.columns, resolved.columns)
     labelled_snapshot = _undeleted(snapshot.join(_by_id(resolved, id_column, deleted), id_column, "left"), deleted)

@@ -115,7 +115,7 @@ class LabelSink:
         snapshot = store.read(SNAPSHOT, [own], schema)
         hits = with_payload(match_rules(snapshot.drop(BATCH), key, rules), rules)
         options = rules.options
-        found = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions)
+        found = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions, rules)
         ids = snapshot.select(F.col(quoted(key)).alias("id"), BATCH).join(found, "id", "left")
         ids.write.mode("overwrite").parquet(store.path(LABELS, own))
         store.commit(number, [*before, own], {SNAPSHOT: key, LABELS: "id"}, {SNAPSHOT: schema, LABELS: ids.schema})

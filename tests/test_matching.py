@@ -4,6 +4,7 @@ import random
 import pytest
 
 from interpreter import hits, labels
+from rulemark.errors import RuleError, SettingsError
 from rulemark.operators import skew
 from rulemark.operators.actions import apply_actions, resolve
 from rulemark.operators.compiled import compile_rules
@@ -104,6 +105,8 @@ def test_random_dictionaries(spark, seed, options):
     for mode in ("tags", "append"):
         want = labels(expected, plain(rules), 2, add_mode=mode)
         fused = resolve(paid, kept, add_mode=mode, actions=compiled.actions)
+        by_number = resolve(paid, kept, add_mode=mode, actions=compiled.actions, rules=compiled)
+        assert sorted(map(tuple, by_number.select(fused.columns).collect()), key=repr) == sorted(map(tuple, fused.collect()), key=repr)
         got = {r["id"]: None if r["is_deleted"] else [r[c] for c in kept] for r in fused.collect()}
         assert got == {k: None if v is None else [v[i] for i in at] for k, v in want.items()}
         if seed == 0:
@@ -268,3 +271,53 @@ def test_keys_that_are_rare_in_the_data(spark):
     assert hits[0] == hits[1] and len(hits[0]) == 16
     cost = [candidates(values_by_column(data, "k", r), r).count() for r in (plain, by_data)]
     assert cost[0] > 5000 and cost[1] < 100
+
+
+def test_rules_of_many_clauses(spark):
+    """Clauses are bits of one mask, or of several."""
+    raw = spark.createDataFrame(
+        [(1, "a", "fts", "|".join(["0"] * 130), None, "|".join(f"w{i}" for i in range(130)), "x"), (2, "a", "fts", "0|0", None, "w1|w2", "y")],
+        "n int, action string, match string, search string, note string, term string, cat string",
+    )
+    rules = compile_rules(raw, ["v"], ["n"])
+    assert rules.most_clauses == 130
+    whole = " ".join(f"w{i}" for i in range(130))
+    data = spark.createDataFrame([(1, whole), (2, whole.replace("w129", "")), (3, whole.replace("w64 ", "")), (4, "w2 w1")], "k int, v string")
+    assert {tuple(r) for r in match_rules(data, "k", rules).collect()} == {(1, 1), (1, 2), (2, 2), (3, 2), (4, 2)}
+    plan = match_rules(data, "k", rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan and "Expand" not in plan
+
+
+def test_replacing_aggregates_numbers_only(spark):
+    raw = spark.createDataFrame([(1, "r", "p", "0", None, "a", "x"), (2, "r", "p", "0", None, "b", None), (3, "r", "s", "0", None, "ab", "z")], "n int, action string, match string, search string, note string, term string, cat string")
+    data = spark.createDataFrame([(1, "ab"), (2, "ba"), (3, "b"), (4, "q")], "k int, v string")
+    with compile_rules(raw, ["v"], ["n"]) as rules:
+        found = resolve(with_payload(match_rules(data, "k", rules), rules), ["cat"], actions=("r",), rules=rules)
+        assert {tuple(r) for r in found.collect()} == {(1, False, "z"), (2, False, "x"), (3, False, None)}
+        plan = found._jdf.queryExecution().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+    with pytest.raises(RuleError):
+        match_rules(data, "k", rules)
+
+
+@pytest.mark.parametrize("n", [10_000, 10_001])
+def test_one_contract_at_every_size(spark, monkeypatch, n):
+    """On both sides of what is kept locally: the folder is asked for, and released rules are of no use."""
+    from rulemark.operators import compiled as module
+
+    raw = spark.range(n).select(
+        "id", F.lit("a").alias("action"), F.lit("f").alias("match"), F.lit("0").alias("search"), F.lit("").alias("note"), F.concat(F.lit("t"), "id").alias("term"), F.lit("x").alias("cat")
+    )
+    with monkeypatch.context() as m:
+
+        def unset(_):
+            raise SettingsError("set spark.checkpoint.dir")
+
+        m.setattr(module, "shared_folder", unset)
+        with pytest.raises(SettingsError):
+            compile_rules(raw, ["v"], ["id"])
+    data = spark.createDataFrame([(1, "T77"), (2, "none")], "k int, v string")
+    with compile_rules(raw, ["v"], ["id"]) as rules:
+        assert [tuple(r) for r in match_rules(data, "k", rules).collect()] == [(1, 78)]
+    with pytest.raises(RuleError):
+        with_payload(match_rules(data, "k", rules), rules)
