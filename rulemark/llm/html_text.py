@@ -1,19 +1,26 @@
 """Main text of web pages by templates deduced from the pages of a host.
 
-Every page is read as tokens: tags told apart by the path of tags above them, and the text
-of blocks outside the article. On each host, tokens whose occurrence vectors (how often
-on which page) agree form an equivalence class. A vector is never gathered: it is summed up
-as the sum over pages of a hash of (page, count), which adds up in the scan tasks. Classes
-that occur on enough pages with at least ``CLASS_SIZE`` tokens are valid; as paths tell
-where a token stands, classes nest by them, and together they make the host's template. A
-page is read again with it: text that belongs to a class stands in the template, text
-between is a slot. The slots under an article (or else ``main``) are the text; on pages with
-neither, all slots of the body but those of menus, notices and the like.
+Every page is read as tokens: tags told apart by the path of tags above them, the text of
+blocks, and elements in an article whose names speak of a surrounding. On each host, tokens whose
+occurrence vectors (how often on which page) agree form an equivalence class. A vector is never
+gathered: it is summed up as the sum over pages of a hash of (page, count), which adds up in the scan
+tasks. Classes that occur on enough pages with at least ``CLASS_SIZE`` tokens are valid; as paths
+tell where a token stands, classes nest by them, and together they make the host's template.
+A page is read again with it: text of the template is left out, text between is a slot.
+
+- In an article (or ``main``), text is the template's if it is in the class of the article's own tag, on
+  every page of a host of ``LEAST_FIXED`` pages or more: what each article repeats. Text that only
+  some pages share, such as a common passage, stays, and so does all of an article that has
+  nothing else, such as copies of one page.
+- Elements there with a name that has a word of ``MARKS`` (``related-work``, ``lunch menu``) hold article
+  text, unless the template has them; only elements all of whose names are such words
+  (``comments``) are left out on a host without a template.
+- Then tag roles choose between the slots: those of articles, unless the slots around hold more than
+  ``TEASER`` times as much; else the slots of the body but those of menus, notices and the like.
 
 Roles of tags are taken from HTML itself: ``nav``, ``footer``, ``form``, ``script``... and the
-usual class names of adverts, notices and comments. Text inside the article is never
-dropped for being repeated. A null or empty html gives an empty text. Tags that are not closed
-end with the element around them. Repeated rows each give their row.
+usual class names of adverts, notices and comments. A null or empty html gives an empty text. Tags
+that are not closed end with the element around them. Repeated rows each give their row.
 """
 
 from __future__ import annotations
@@ -31,8 +38,14 @@ from rulemark.llm.url_filter import host_and_path
 
 #: A class is valid on this share of a host's pages, and on so many at least.
 SUPPORT, LEAST_PAGES = 0.3, 4
-#: Tokens of a valid class.
+#: Tokens of a valid class, texts in articles not counted.
 CLASS_SIZE = 3
+#: Pages of a host whose articles can be told from what they all repeat.
+LEAST_FIXED = 8
+#: An article is a teaser if the slots around it hold so many times as much.
+TEASER = 3
+#: Kinds of tokens: tags and texts of the page, texts in an article, the tag of an article.
+AROUND, WITHIN, OPENING = range(3)
 #: Tokens (of 8 bytes) of all templates that may be broadcast; beyond it pages are shuffled by host.
 BROADCAST_TOKENS = 1_000_000
 
@@ -42,6 +55,7 @@ RAW = frozenset("script style noscript template textarea title iframe object svg
 #: Elements that never hold main text, and those that do.
 ASIDE = frozenset("nav footer aside form button dialog menu fieldset".split())
 MAIN = ("article", "main")
+OPENINGS = tuple(f"|{name}" for name in MAIN)
 BLOCKS = frozenset(
     "address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -66,19 +80,24 @@ NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))
 SPACE = re.compile(r"\s+")
 
 
-def marked(attributes: str) -> bool:
+def marks_of(attributes: str) -> tuple[bool, bool, str]:
+    """Has an element a name with a word of ``MARKS``, are all its names such words, and the names."""
+    some, every, all_names = False, True, []
     for name, *values in NAMED.findall(attributes):
         names = [n for v in values for n in v.lower().split() if not ELSEWHERE.match(n)]
-        words = [w for n in names for w in re.split(r"[^a-z0-9]+", n)]
         if name.lower() == "role":
-            words = ["nav" if w in ("navigation", "banner", "contentinfo", "complementary", "search") else "" for w in words]
-        if not MARKS.isdisjoint(words):
-            return True
-    return False
+            names = ["nav"] if {"navigation", "banner", "contentinfo", "complementary", "search"} & {*names} else []
+        some = some or any(not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", n)) for n in names)
+        every = every and MARKS.issuperset(names)
+        all_names += names
+    return some, some and every, " ".join(sorted(all_names))
 
 
-def blocks(page: str):
-    """(path, aside, inside main, text) of each block, and (path, None, None, None) of each tag."""
+def blocks(page: str, template: frozenset[int] = frozenset()):
+    """(path, aside, inside main, text) of each block, and (path, None, None, None) of each tag.
+
+    In an article, the template tells which elements with a name that has a mark are aside.
+    """
     stack: list[tuple[str, bool, bool]] = []  # name, aside, main
     parts: list[str] = []
     at = 0
@@ -120,7 +139,12 @@ def blocks(page: str):
                 end = ENDS[name].search(page, at)
                 at = end.end() if end else len(page)
                 continue
-            aside = aside or header or name in ASIDE or (name not in UNMARKED and marked(m[3]))
+            some, every, names = marks_of(m[3]) if name not in UNMARKED and m[3] else (False, False, "")
+            if some and main and not every:
+                element = f"{path()}|{name}#{names}"
+                some = key_of(element, None) in template
+                yield element, None, None, None
+            aside = aside or header or name in ASIDE or some
             stack.append((name, aside, main or name in MAIN))
         if name in BLOCKS:
             where = (path(), *(stack[-1][1:] if stack else (False, False)))
@@ -134,13 +158,13 @@ def key_of(path: str, text: str | None) -> int:
     return xxhash.xxh64_intdigest(f"{path}\0{text or ''}") - (1 << 63)
 
 
-def tokens_of(page: str) -> dict[int, int]:
-    """How often each token stands on a page."""
-    found: dict[int, int] = {}
-    for path, aside, main, text in blocks(page):
-        if text is None or not main:
-            key = key_of(path, text)
-            found[key] = found.get(key, 0) + 1
+def tokens_of(page: str) -> dict[int, tuple[int, int]]:
+    """How often each token stands on a page, and its kind."""
+    found: dict[int, tuple[int, int]] = {}
+    for path, _, main, text in blocks(page):
+        kind = (OPENING if path.endswith(OPENINGS) else AROUND) if text is None else WITHIN if main else AROUND
+        key = key_of(path, text)
+        found[key] = (found.get(key, (0, kind))[0] + 1, kind)
     return found
 
 
@@ -148,10 +172,10 @@ def _tokens(batches):
     for batch in batches:
         out: list[tuple] = []
         for row, host, page in zip(*(batch.column(c).to_pylist() for c in ("row", "host", "html"))):
-            out += ((row, host, token, n) for token, n in tokens_of(page or "").items())
-        columns = list(zip(*out)) or [()] * 4
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["row", "host", "token", "n"])
+            out += ((row, host, token, n, kind) for token, (n, kind) in tokens_of(page or "").items())
+        columns = list(zip(*out)) or [()] * 5
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["row", "host", "token", "n", "kind"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -161,29 +185,40 @@ def templates(pages: DataFrame) -> DataFrame:
     """
     host, _ = host_and_path(F.col("url"))
     rows = small_batches(pages).select(F.xxhash64("page_id", "url").alias("row"), host.alias("host"), "html")
-    tokens = rows.mapInArrow(_tokens, "row bigint, host string, token bigint, n bigint")
+    tokens = rows.mapInArrow(_tokens, "row bigint, host string, token bigint, n bigint, kind int")
     # The vector's sum fits a long: 2**31 pages of a host at 2**31 each.
     vector = F.sum(F.xxhash64("row", "n").bitwiseAND((1 << 31) - 1)).alias("vector")
-    counted = tokens.groupBy("host", "token").agg(vector, F.count("*").alias("pages"))
+    counted = tokens.groupBy("host", "token", "kind").agg(vector, F.count("*").alias("pages"))
     named = cut(counted.filter(F.col("pages") >= LEAST_PAGES))
     sizes = rows.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("all_pages"))
     often = named.join(sizes, F.col("host") == F.col("_host")).filter(F.col("pages") >= SUPPORT * F.col("all_pages"))
-    classes = often.groupBy("host", "vector", "pages").agg(F.collect_list("token").alias("tokens"))
+    tokens_where = lambda c: F.collect_list(F.when(c, F.col("token")))
+    classes = often.groupBy("host", "vector", "pages", "all_pages").agg(
+        tokens_where(F.col("kind") != WITHIN).alias("tokens"),
+        tokens_where(F.col("kind") == WITHIN).alias("within"),
+        F.max(F.col("kind") == OPENING).alias("opening"),
+    )
+    fixed = F.col("opening") & (F.col("pages") == F.col("all_pages")) & (F.col("pages") >= LEAST_FIXED)
+    none = F.array().cast("array<bigint>")
     valid = classes.filter(F.size("tokens") >= CLASS_SIZE)
+    valid = valid.select("host", F.concat("tokens", F.when(fixed, F.col("within")).otherwise(none)).alias("tokens"))
     return valid.groupBy("host").agg(F.sort_array(F.flatten(F.collect_list("tokens"))).alias("template"))
 
 
 def main_text(page: str, template: frozenset[int]) -> str:
-    """Blocks of the article; without one, the slots of the body that are not in the template."""
-    inside, outside = [], []
-    for path, aside, main, text in blocks(page):
+    """The slots of the article, or those of the body."""
+    inside, repeated, outside = [], [], []
+    for path, aside, main, text in blocks(page, template):
         if text is None or aside:
             continue
+        known = key_of(path, text) in template
         if main:
-            inside.append(text)
-        elif key_of(path, text) not in template:
+            (repeated if known else inside).append(text)
+        elif not known:
             outside.append(text)
-    return "\n\n".join(inside or outside)
+    slots = inside or repeated  # articles that are alike on all pages
+    size = lambda texts: sum(map(len, texts))
+    return "\n\n".join(slots if slots and size(outside) <= TEASER * size(slots) else outside or slots)
 
 
 def _extract(batches):

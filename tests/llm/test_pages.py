@@ -78,6 +78,65 @@ def test_templates_where_there_is_no_article(spark):
     assert [found[i] for i in range(12)] == texts
 
 
+@pytest.mark.parametrize("names", ["id='related-work'", "class='side-effects'", "id='search-algorithms'", "class='lunch menu'", "class='x-share y'"])
+def test_names_in_an_article_are_no_evidence(spark, names):
+    page = f"<body><nav>m</nav><article><p>One</p><section {names}><p>Two</p></section><div class='comments'>reader</div></article></body>"
+    assert extracted(spark, [page])[0] == "One\n\nTwo"
+
+
+def test_elements_that_the_template_has_are_left_out_of_articles(spark):
+    """A box with a telling name in every article, and a line that each article repeats."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") * 5 for _ in range(8)) for _ in range(10)]
+    shared = "a passage that many pages share"
+    made = [
+        f"<body><article><h1>t{i}</h1><p>{t}</p>{f'<p>{shared}</p>' if i % 2 else ''}<p>Never miss a story!</p>"
+        f"<div class='box related-links'><p>{texts[i - 1]}</p></div></article></body>"
+        for i, t in enumerate(texts)
+    ]
+    found = extracted(spark, made)
+    assert found == {i: f"t{i}\n\n{t}" + (f"\n\n{shared}" if i % 2 else "") for i, t in enumerate(texts)}
+
+
+def test_a_teaser_is_not_the_article(spark):
+    body = "long words of the page " * 20
+    page = f"<body><nav>m</nav><div id='content'><p>{body}</p></div><article><p>Read next</p></article><footer>f</footer></body>"
+    assert extracted(spark, [page])[0] == body.strip()
+
+
+def brute_templates(made):
+    """Templates from whole occurrence vectors: host -> tokens."""
+    hosts = defaultdict(list)
+    for host, page in made:
+        hosts[host].append(html_text.tokens_of(page))
+    out = {}
+    for host, counts in hosts.items():
+        vectors = defaultdict(list)
+        for token in {t for c in counts for t in c}:
+            vectors[tuple(c.get(token, (0, 0))[0] for c in counts)].append(token)
+        kind = {t: k for c in counts for t, (_, k) in c.items()}
+        for vector, tokens in vectors.items():
+            n = sum(v > 0 for v in vector)
+            around = [t for t in tokens if kind[t] != html_text.WITHIN]
+            if n >= html_text.LEAST_PAGES and n >= html_text.SUPPORT * len(counts) and len(around) >= html_text.CLASS_SIZE:
+                fixed = n == len(counts) >= html_text.LEAST_FIXED and any(kind[t] == html_text.OPENING for t in tokens)
+                out.setdefault(host, set()).update(tokens if fixed else around)
+    return out
+
+
+def test_classes_by_whole_vectors(spark):
+    rng = random.Random(12)
+    made = []
+    for i in range(90):
+        host = f"h{rng.randrange(5)}.example"
+        parts = [f"<div><p>{rng.choice(['a', 'b', 'c'])}</p></div>" * rng.randint(0, 2) for _ in range(3)]
+        article = f"<article><p>{rng.choice('xyz')}</p>" + "<p>always</p>" * (host != "h1.example" or i % 3 > 0) + "<section class='more share'>s</section></article>"
+        made.append((host, f"<html><body>{parts[0]}<nav><p>menu</p></nav>{article}{parts[1]}<footer>f</footer>{parts[2]}</body></html>"))
+    rows = [(i, f"http://{host}/{i}", page) for i, (host, page) in enumerate(made)]
+    got = {r["host"]: set(r["template"]) for r in html_text.templates(pages(spark, rows)).collect()}
+    assert got == brute_templates(made) and len(got) == 5
+
+
 def test_repeated_articles_stay(spark):
     page = "<body><nav>m</nav><article><h1>Same</h1><p>words everywhere</p></article></body>"
     assert set(extracted(spark, [page] * 30).values()) == {"Same\n\nwords everywhere"}
