@@ -8,8 +8,10 @@ until each splitter is within the tolerance. Only sums of cells reach the driver
 (shards - 1) x ``CELLS`` of a round at most. Then the rows, without their
 texts, are exchanged once to number them within their shard.
 
-A null text has size 1. Equal keys (repeated rows) stay together. An empty table gives
-no rows. Other columns are not read.
+The last bits of the key are those of a row's number in the checkpoint, so that rows equal in
+id and text can be divided too, between shards and between tasks.
+
+A null text has size 1. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ TOLERANCE = 0.002
 ROWS_PER_TASK = 200_000
 #: Bits of a hash that make the key; 60 is a multiple of BITS.
 HASH_BITS = 60
+#: The last bits, which tell equal rows apart.
+ROW_BITS = 24
 ROUNDS = 2 * HASH_BITS // BITS
 
 
@@ -113,16 +117,18 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> lis
 def shard_by_bytes(docs: DataFrame, shards: int = 16) -> DataFrame:
     """One row per document: ``doc_id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    mask = (1 << HASH_BITS) - 1
+    mask, row_mask = (1 << HASH_BITS) - 1, (1 << ROW_BITS) - 1
     rows = cut(
         docs.select(
             "doc_id",
             (F.octet_length(text).cast("bigint") + 1).alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).bitwiseAND(mask).alias("a"),
-            F.xxhash64(F.col("doc_id"), F.lit("row")).bitwiseAND(mask).alias("b"),
+            F.xxhash64(F.col("doc_id"), F.lit("row")).bitwiseAND(mask ^ row_mask).alias("b"),
         )
     )
+    number = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(row_mask)
+    rows = rows.withColumn("b", F.col("b").bitwiseOR(number))
     starts = splitters(rows, shards)
     shard = sum((at_least(p).cast("int") for p in starts), F.lit(0))
     tasks = max(1, rows.count() // (shards * ROWS_PER_TASK))

@@ -192,6 +192,21 @@ def test_shards_are_balanced(spark):
     assert len(sizes) == 16 and max(sizes.values()) - min(sizes.values()) < 0.1 * mean
 
 
+def test_repeated_rows_are_divided(spark, monkeypatch):
+    """A third of the table is one row again and again."""
+    rng = random.Random(8)
+    same = prose(rng, 3)
+    many = [(i, prose(rng, rng.randint(1, 6)), None) for i in range(600)] + [(7, same, None)] * 200 + [(None, None, None)] * 100
+    monkeypatch.setattr(sharding, "ROWS_PER_TASK", 5)
+    sizes, slots = Counter(), defaultdict(list)
+    for r in rows(sharding.shard_by_bytes(frame(spark, many), 16)):
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(sizes.values()) / 16
+    assert len(sizes) == 16 and max(sizes.values()) - min(sizes.values()) < 0.15 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 # licenses
 
 
