@@ -56,10 +56,9 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(kept), F.lit(WORD), F.lit(0))
 
 
-def rolling(name: str) -> Column:
+def rolling(words: Column) -> Column:
     """Hashes of the runs that start at each word; the last ones are shorter."""
-    at = lambda i, d: F.get(F.col(name), i + d)
-    return F.transform(F.col(name), lambda w, i: F.xxhash64(w, at(i, 1), at(i, 2)))
+    return F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
 
 def gram(name: str, place: Column) -> Column:
@@ -71,7 +70,7 @@ def templates(spark: SparkSession) -> DataFrame:
     values = [(i, label, text, i < len(PHRASES)) for i, (text, label) in enumerate(PHRASES + TEXTS)]
     sql = ", ".join(f"({i}, '{label}', '{text}', {base})" for i, label, text, base in values)
     known = spark.sql(f"SELECT * FROM VALUES {sql} AS t(template, label, text, base)").withColumn("t", words(F.col("text")))
-    runs = known.select("template", "label", "base", "t", (F.size("t") - GRAM + 1).alias("runs"), F.posexplode(rolling("t")).alias("at", "hash"))
+    runs = known.select("template", "label", "base", "t", (F.size("t") - GRAM + 1).alias("runs"), F.posexplode(rolling(F.col("t"))).alias("at", "hash"))
     runs = runs.filter("at < runs").select("hash", "template", "label", "base", "runs", "at", gram("t", F.col("at")).alias("gram"))
     header = spark.sql(f"SELECT {HEADER}L AS hash, -1 AS template, '' AS label, false AS base, 0 AS runs, -1 AS at, '' AS gram")
     return runs.unionByName(header)
@@ -82,14 +81,21 @@ def license_places(docs: DataFrame) -> DataFrame:
 
     ``template`` -1 is the header of a document, with ``votes`` the number of equal rows.
     """
-    read = docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"), words(F.col("text")).alias("w"))
-    runs = read.select(
-        "doc_id", "text_hash", "w", F.size("w").alias("n_words"),
-        F.posexplode(F.concat(F.array(F.lit(HEADER).cast("bigint")), rolling("w"))).alias("pos", "h"),
-    )
+    header = F.array(F.struct(F.lit(HEADER).cast("bigint").alias("h"), F.lit("").alias("own")))
+
+    def split(w: Column) -> Column:
+        """The number of words, and the runs, each with its own words: the text goes no further."""
+        own = F.transform(w, lambda first, i: F.concat_ws(" ", first, *(F.get(w, i + d) for d in range(1, GRAM))))
+        runs = F.concat(header, F.arrays_zip(rolling(w).alias("h"), own.alias("own")))
+        return F.struct(F.size(w).alias("n_words"), runs.alias("runs"))
+
+    # The one-element array binds the words, and its generator keeps the optimizer from repeating them.
+    hashed = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash")
+    read = docs.select("doc_id", hashed, F.inline(F.transform(F.array(words(F.col("text"))), split)))
+    runs = read.select("doc_id", "text_hash", "n_words", F.posexplode("runs").alias("pos", "run"))
     known = F.broadcast(templates(docs.sparkSession))
-    equal = F.when(F.col("pos") == 0, F.col("template") == -1).otherwise(gram("w", F.col("pos") - 1) == F.col("gram"))
-    hits = runs.join(known, (F.col("h") == F.col("hash")) & equal).select(
+    equal = F.when(F.col("pos") == 0, F.col("template") == -1).otherwise(F.col("run.own") == F.col("gram"))
+    hits = runs.join(known, (F.col("run.h") == F.col("hash")) & equal).select(
         "doc_id", "text_hash", "n_words", "template", "label", "base", "runs", "at", (F.col("pos") - 1).alias("pos")
     )
     key = ["doc_id", "text_hash", "n_words"]
