@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,8 @@ def read_dictionary(spark: SparkSession, path: str, options: ReadOptions = ReadO
     part = _part_files(spark, path).agg(F.min("path")).first()[0]
     if part is None:
         raise SettingsError(f"no dictionary at {path!r}")
-    return read_files(spark, path, clean_names(*read_header(spark, part, options)), options)
+    # files of a dictionary are short: dividing one would cost more jobs than it saves
+    return read_files(spark, path, clean_names(*read_header(spark, part, options)), replace(options, split_quoted=False))
 
 
 def _part_files(spark: SparkSession, path: str) -> DataFrame:
