@@ -26,6 +26,9 @@ from rulemark.llm.common import cut, kept_by_worker, query, small_batches, table
 
 #: Length of the vectors, and the seed of the letters.
 SIZE, SEED = 1024, 20240601
+#: Least score of the pipeline, three standard deviations of the cosine of unrelated vectors, and the
+#: least number of trigrams of a text that is rejected by its score.
+CHANCE, ENOUGH = 3 / SIZE**0.5, 64
 #: More letters than this in a batch are counted by sorting instead of by place.
 DENSE_LETTERS = 96
 #: Characters of a batch that are counted at once, and different trigrams whose vectors are held at once.
@@ -160,46 +163,54 @@ def predictor(prototypes: dict[str, np.ndarray]):
         counter = Counter()
         for batch in batches:
             langs, scores = [], []
-            bundles, any_gram = np.zeros((len(batch), SIZE), np.float32), np.zeros(len(batch), bool)
+            bundles, grams = np.zeros((len(batch), SIZE), np.float32), np.zeros(len(batch), np.int64)
             for at, counts, vectors in counter.blocks(batch.column("text").to_pylist()):
                 bundles[at : at + len(counts)] += counts.astype(np.float32) @ vectors
-                any_gram[at : at + len(counts)] |= counts.any(axis=1)
+                grams[at : at + len(counts)] += counts.sum(axis=1).astype(np.int64)
             norms = np.linalg.norm(bundles, axis=1)
             cosines = (bundles @ matrix) / np.maximum(norms, 1e-9)[:, None]
-            for some, row in zip(any_gram, cosines):
+            for some, row in zip(grams, cosines):
                 best = int(row.argmax()) if some and names else -1
                 langs.append(names[best] if best >= 0 else "und")
                 scores.append(min(1.0, max(0.0, float(row[best]))) if best >= 0 else 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "text_hash", "held_out", "lang_pred", "score"],
+                [batch.column("doc_id"), batch.column("text_hash"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(grams)],
+                ["doc_id", "text_hash", "held_out", "lang_pred", "score", "grams"],
             )
 
     return predict
 
 
-def identify(docs: DataFrame, otherwise: dict[str, np.ndarray] | None = None) -> DataFrame:
-    """One row per document: ``doc_id``, ``text_hash``, ``held_out``, ``lang_pred``, ``score``.
+def identify(docs: DataFrame) -> DataFrame:
+    """One row per document: ``doc_id``, ``text_hash``, ``held_out``, ``lang_pred``, ``score``, ``grams`` (its trigrams).
 
-    Learns from the rows that are not held out; ``otherwise`` are the prototypes where
-    nothing can be learnt.
+    Learns from the rows that are not held out.
     """
-    prototypes = learn(docs.filter(~held_out())) or otherwise or {}
+    return _predicted(docs, learn(docs.filter(~held_out())))
+
+
+def _predicted(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
     rows = small_batches(docs).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text_hash().alias("text_hash"), held_out().alias("held_out"), "text"
     )
-    schema = "doc_id bigint, text_hash bigint, held_out boolean, lang_pred string, score double"
+    schema = "doc_id bigint, text_hash bigint, held_out boolean, lang_pred string, score double, grams bigint"
     return rows.mapInArrow(predictor(prototypes), schema)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents that have a language, with all their columns.
 
-    Where no language can be learnt, those that have a letter.
+    Without a letter there is none, nor where the score stays below ``CHANCE``, as it would with
+    random letters. Texts of less than ``ENOUGH`` trigrams tell too little to be
+    rejected by their score. Where no language can be learnt, those that have a letter are kept.
     """
-    return without_rows(docs, cut(identify(docs, {"any": np.zeros(SIZE)}).filter("lang_pred = 'und'").select("doc_id", "text_hash")))
+    prototypes = learn(docs.filter(~held_out()))
+    rejected = F.col("grams") == 0
+    if prototypes:
+        rejected |= (F.col("score") < CHANCE) & (F.col("grams") >= ENOUGH)
+    return without_rows(docs, cut(_predicted(docs, prototypes).filter(rejected).select("doc_id", "text_hash")))
 
 
 @query()
 def op6_language_id(spark, sf):
-    return identify(table(spark, sf, "documents")).drop("text_hash")
+    return identify(table(spark, sf, "documents")).drop("text_hash", "grams")

@@ -306,6 +306,17 @@ def test_language_keeps_what_has_letters(docs, texts):
     assert Counter(repr(r["doc_id"]) for r in kept.select("doc_id").collect()) == expected
 
 
+def test_language_drops_what_is_no_more_like_a_language_than_chance(spark):
+    rng = random.Random(23)
+    noise = lambda n: "".join(rng.choice("bcdfghjklmnpqrstvwxz     0123456789#") for _ in range(n))
+    clean = [(i, prose(rng, 80), "en") for i in range(60)] + [(60 + i, "Ärger über süße Öfen und Straßen " + prose(rng, 3), "de") for i in range(20)]
+    junk = [(100 + i, noise(1500), None) for i in range(20)]
+    short = [(200 + i, noise(20) + "q", None) for i in range(20)]
+    kept = {r["doc_id"] for r in language.keep_identified(frame(spark, clean + junk + short)).select("doc_id").collect()}
+    assert kept >= {i for i, _, _ in clean + short}
+    assert len(kept & {i for i, _, _ in junk}) <= 1
+
+
 def test_language_keeps_letters_where_nothing_is_learnt(spark):
     """Without a labelled row the stage cannot judge languages, so clean documents stay."""
     data = [(1, "clean words of a document", None), (2, "12 34 !!", None), (3, None, None), (4, "Ärger", None)]
