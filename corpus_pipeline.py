@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from rulemark.llm.decontamination import keep_clean
 from rulemark.llm.exact_dedup import keep_first
 from rulemark.llm.language import keep_identified
+from rulemark.llm.near_copies import keep_one_of_each
 from rulemark.llm.packing import pack
-from rulemark.llm.simhash import keep_representatives
 from rulemark.sources.storage import delete_folder, new_folder
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without a letter go."""
+    """Documents with a language; those without a letter go, and those no more like one than chance."""
     return keep_identified(docs)
 
 
@@ -23,8 +23,8 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints are linked, the one with the smallest id stays."""
-    return keep_representatives(docs)
+    """Of documents alike in 0.8 or more of their 5-word shingles, the one with the smallest id stays."""
+    return keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
