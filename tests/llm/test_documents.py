@@ -685,3 +685,21 @@ def test_exact_dedup_sql(spark):
     for name, sql in ORACLES.items():
         found = QUERIES[name](spark, SF).select(names).collect()
         assert sorted(map(tuple, found)) == sorted(con.sql(f"SELECT {', '.join(names)} FROM ({sql})").fetchall())
+
+
+def test_documents_searched_together_give_the_rows_of_each_alone(monkeypatch):
+    """Windows never cross documents, and a cosine does not depend on what stands before."""
+    rng = random.Random(31)
+    known = [(i, prose(rng, rng.randint(8, 70)) + f" only{i} here{i}.") for i in range(60)]
+    vocabulary = sorted({w for _, t in known for w in decontamination.words_of(t)})
+    weights = {w: (i, 1 + i % 7 / 3) for i, w in enumerate(vocabulary)}
+    space = np.linalg.qr(np.random.default_rng(1).standard_normal((len(weights), 24)))[0]
+    items = decontamination.Items(known, weights, space)
+    texts = ["", "unknown", *(prose(rng, rng.randint(0, 200)) + " " + rng.choice(known)[1] * rng.randint(0, 2) for _ in range(150))]
+    texts += [known[0][1][:-20], known[0][1][-20:]]  # halves of an item, one after the other
+    documents = [decontamination.words_of(t) for t in texts]
+    alone = [items.search(d) for d in documents]
+    assert sum(map(bool, alone)) > 60 and alone[-1] == alone[-2] == []
+    for words in (1, 500, 1 << 13, 1 << 20):
+        monkeypatch.setattr(decontamination, "GROUP_WORDS", words)
+        assert list(items.search_all(documents)) == alone
