@@ -13,9 +13,11 @@ with a similarity of 0.9 nearly all share one of the ``KEYS`` keys, of those wit
 A key tells 2**24 classes apart, so a text meets ``KEYS`` * n / 2**24 unrelated ones of n by chance.
 
 Of a key that at most ``PAIR_LIMIT`` fingerprints have, all pairs are compared. In a larger one, all are
-compared with its least fingerprint; those linked to it leave the key, and the others
-go on among themselves, until no more than ``PAIR_LIMIT`` are left. So no pair is left out but those of
-two that are linked to different centres of this key, and the work grows with the members, not their pairs.
+compared with its least fingerprint; those linked to it leave the key, and the others go on among
+themselves, round by round. A group of copies is gone after a round, however large. What goes on are texts that share a
+key without being alike, such as those with a long passage in common; the limit grows ``GROWTH`` times a round, so that
+these end after few rounds, at the cost of comparing them in pairs. No pair is left out but those of two that
+are linked to different centres of this key.
 
 Texts are read once; only ids, fingerprints and keys are shuffled. Texts that agree in the first 64 bits
 are one. Words are those of ``simhash``; a text of up to five words is one shingle, null and empty texts have
@@ -46,8 +48,8 @@ LONGS = -(-BITS // 64)
 #: Differing bits of a link; and of the first 64, by which unrelated pairs are told at once (3.6 standard deviations).
 SHARE = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
 RADIUS, FIRST_RADIUS = int(SHARE * BITS), math.ceil(SHARE * 64 + 3.6 * math.sqrt(64 * SHARE * (1 - SHARE)))
-#: Fingerprints of one key that are all compared.
-PAIR_LIMIT = 8
+#: Fingerprints of one key that are all compared, and by how much more in each round.
+PAIR_LIMIT, GROWTH = 16, 4
 #: Shingles counted at once; sums of up to 255 fit a byte.
 BLOCK = 255
 
@@ -147,9 +149,9 @@ def _with_sizes(members: DataFrame) -> DataFrame:
     return cut(members.join(sizes, members["key"] == sizes["_key"]).select("key", "fp", "n"))
 
 
-def _pairs(members: DataFrame) -> DataFrame:
+def _pairs(members: DataFrame, limit: int) -> DataFrame:
     """Pairs of members (``key``, ``fp``, ``n``) of keys that few have."""
-    few = members.filter(F.col("n") <= PAIR_LIMIT)
+    few = members.filter(F.col("n") <= limit)
     left = few.select("key", F.col("fp").alias("u"))
     right = few.select(F.col("key").alias("_key"), F.col("fp").alias("v"))
     meet = (left["key"] == right["_key"]) & (F.col("u") > F.col("v")) & _alike("u", "v")
@@ -159,15 +161,17 @@ def _pairs(members: DataFrame) -> DataFrame:
 def links(wide: DataFrame) -> DataFrame:
     """Edges ``u``, ``v`` between fingerprints (``fp``, ``bits``, each once), with the components of all links found."""
     members = _with_sizes(wide.select("fp", "bits").mapInArrow(_keys, "key bigint, fp bigint"))
-    found = _verified(_pairs(members), wide)
-    while not (crowded := members.filter(F.col("n") > PAIR_LIMIT)).isEmpty():
+    limit = PAIR_LIMIT
+    found = _verified(_pairs(members, limit), wide)
+    while not (crowded := members.filter(F.col("n") > limit)).isEmpty():
         least = crowded.groupBy(F.col("key").alias("_key")).agg(F.min("fp").alias("v"))
         met = crowded.join(least, crowded["key"] == least["_key"]).filter("fp != v").select("key", F.col("fp").alias("u"), "v")
         stars = cut(_verified(met.filter(_alike("u", "v")).select("u", "v"), wide))
         linked = stars.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
         left = met.join(linked, (met["u"] == linked["_u"]) & (met["v"] == linked["_v"]), "left_anti")
         members = _with_sizes(left.select("key", F.col("u").alias("fp")))
-        found = found.union(stars).union(_verified(_pairs(members), wide))
+        limit *= GROWTH
+        found = found.union(stars).union(_verified(_pairs(members, limit), wide))
     return found
 
 
