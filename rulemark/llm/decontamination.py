@@ -1,11 +1,11 @@
 """Benchmark passages in documents by latent semantic retrieval.
 
 Words are runs of letters and digits in lower case. Document frequencies of the
-benchmark's terms are counted over all documents. Passages (the items, and windows of
-a bounded sample of documents) make a TF-IDF matrix A, of which a distributed
+benchmark's terms are counted over all documents, and in the same reading within each passage
+(``FIT_WINDOW`` words). Passages of all items and documents make a TF-IDF matrix A, of which a distributed
 randomised SVD finds the leading right singular vectors: tasks sum A'(AQ) over their
 passages, the driver makes Q orthogonal, some times over. Then every document is
-read once: its windows are projected into that space, and those whose cosine to an item
+read once more: its windows are projected into that space, and those whose cosine to an item
 reaches ``COSINE`` are candidates. The space has few dimensions, so a window far from an item
 may hold it all the same. Hence windows with one of an item's rarest terms are candidates too,
 of so many of them that what holds ``PARAPHRASED`` of the terms cannot lack all: whatever
@@ -33,7 +33,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +44,14 @@ from rulemark.llm.common import cut, query, small_batches, table, text_hash, wit
 
 #: Items of one pass.
 BLOCK_ITEMS = 20_000
-#: Documents of the sample on which the space is fitted, and passages of each.
-FIT_DOCUMENTS, FIT_WINDOW, FIT_TASKS = 4000, 64, 8
+#: Words of a passage on which the space is fitted (at most 255), and tasks that multiply them.
+FIT_WINDOW, FIT_TASKS = 64, 32
 #: Dimensions of the space, further ones while it is sought, and rounds.
 RANK, OVER, ROUNDS, SEED = 96, 16, 3, 7
+#: Passages that are multiplied at once, as a dense matrix of the terms they hold.
+DENSE = 48
 #: Terms whose rows of a product are summed together.
-TERM_ROWS = 4096
+TERM_ROWS = 1024
 #: Terms on a greater share of documents tell nothing, but an item keeps its rarest terms.
 COMMON, RAREST = 0.05, 10
 #: Least cosine of a candidate.
@@ -68,6 +70,7 @@ GROUP_WORDS = 1 << 13
 UNIT, MARGIN = 1 << 16, 1e-4
 
 PLAIN = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
+COUNTED = pa.schema([("term", pa.int64()), ("n", pa.int64()), *((n, pa.binary()) for n in ("terms", "counts", "held"))])
 FOUND = "doc_id bigint, text_hash bigint, item_id bigint, cosine double, lcs double, answer double"
 
 
@@ -114,24 +117,46 @@ def rarest_needed(terms: list[bytes], weights: dict[bytes, tuple[int, float]]) -
 
 
 def _count_terms(vocabulary: dict[bytes, int]):
+    """Of each batch the passages' terms, and at the end of a task the number of its texts with each term."""
+
     def count(batches):
         seen, total = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total += 1
-                here = vocabulary.keys() & set(words_of(text))
-                seen[[vocabulary[w] for w in here]] += 1
+            texts = list(map(words_of, batch.column(0).to_pylist()))
+            total += len(texts)
+            numbers = np.fromiter(map(vocabulary.get, chain.from_iterable(texts), repeat(-1)), np.int64)
+            lengths = np.array([len(words) for words in texts], np.int64)
+            places = np.flatnonzero(numbers >= 0)
+            owner = np.repeat(np.arange(len(texts)), lengths)[places]
+            # passages are numbered through the batch; none reaches across texts
+            own = -(-lengths // FIT_WINDOW)
+            passage = (places - (np.cumsum(lengths) - lengths)[owner]) // FIT_WINDOW + (np.cumsum(own) - own)[owner]
+            codes, counts = np.unique(passage * len(vocabulary) + numbers[places], return_counts=True)
+            passage, terms = np.divmod(codes, max(1, len(vocabulary)))
+            here = np.zeros((len(texts), len(vocabulary)), bool)
+            here[np.repeat(np.arange(len(texts)), own)[passage], terms] = True
+            seen += here.sum(axis=0)
+            held = np.bincount(passage)
+            parts = (terms.astype(np.int32), counts.astype(np.uint8), held[held > 0].astype(np.uint8))
+            yield pa.RecordBatch.from_pylist([dict(zip(("terms", "counts", "held"), (x.tobytes() for x in parts)))], COUNTED)
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], total))], ["term", "n"])
+        rows = pa.table({"term": np.append(at, -1), "n": np.append(seen[at], total)}).to_batches()[0]
+        blank = pa.nulls(len(rows), pa.binary())
+        yield pa.RecordBatch.from_arrays([*rows.columns, blank, blank, blank], schema=COUNTED)
 
     return count
 
 
-def frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
+def counted(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
+    """Of all documents: numbers of those with a ``term`` (-1: of all), and terms of their passages with counts, by batch."""
+    types = "term bigint, n bigint, terms binary, counts binary, held binary"
+    return small_batches(docs).select("text").mapInArrow(_count_terms(vocabulary), types)
+
+
+def frequencies(counts: DataFrame, terms: int) -> tuple[np.ndarray, int]:
     """Number of documents with each term, and of all documents."""
-    partial = small_batches(docs).select("text").mapInArrow(_count_terms(vocabulary), "term bigint, n bigint")
-    df, total = np.zeros(len(vocabulary), np.int64), 0
-    for r in partial.groupBy("term").agg(F.sum("n").alias("n")).collect():
+    df, total = np.zeros(terms, np.int64), 0
+    for r in counts.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n")).collect():
         if r["term"] < 0:
             total = r["n"]
         else:
@@ -139,36 +164,49 @@ def frequencies(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarr
     return df, total
 
 
-def _passages(weights: dict[bytes, tuple[int, float]], window: int):
+def _weighted(number: np.ndarray, weight: np.ndarray):
     def passages(batches):
         for batch in batches:
-            terms, values = [], []
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                for at in range(0, len(words), window):
-                    counts: dict[int, float] = {}
-                    for w in words[at : at + window]:
-                        if w in weights:
-                            t, v = weights[w]
-                            counts[t] = counts.get(t, 0.0) + v
-                    if counts:
-                        norm = sum(v * v for v in counts.values()) ** 0.5
-                        terms.append(list(counts))
-                        values.append([v / norm for v in counts.values()])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], ["terms", "weights"]
-            )
+            for blobs in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                terms, counts, held = (np.frombuffer(x, t) for x, t in zip(blobs, (np.int32, np.uint8, np.uint8)))
+                passage = np.repeat(np.arange(len(held)), held)
+                kept = np.flatnonzero(number[terms] >= 0)
+                if not len(kept):
+                    continue
+                terms, passage = terms[kept], passage[kept]
+                values = counts[kept] * weight[terms]
+                values /= np.sqrt(np.bincount(passage, values * values))[passage]
+                lengths = np.bincount(passage)
+                ends = np.append(0, np.cumsum(lengths[lengths > 0])).astype(np.int32)
+                lists = (pa.ListArray.from_arrays(ends, x) for x in (number[terms], values))
+                yield pa.RecordBatch.from_arrays(list(lists), ["terms", "weights"])
 
     return passages
 
 
+def weighted_passages(counts: DataFrame, vocabulary: dict[bytes, int], weights: dict[bytes, tuple[int, float]]) -> DataFrame:
+    """The passages as rows of the TF-IDF matrix: ``terms`` that tell something, and their ``weights``."""
+    number, weight = np.full(len(vocabulary), -1, np.int64), np.zeros(len(vocabulary))
+    for w, (i, v) in weights.items():
+        number[vocabulary[w]], weight[vocabulary[w]] = i, v
+    held = counts.filter("terms IS NOT NULL").select("terms", "counts", "held")
+    return held.mapInArrow(_weighted(number, weight), "terms array<bigint>, weights array<double>")
+
+
 def _apply(q: np.ndarray):
     def apply(batches):
         total = np.zeros_like(q)
         for batch in batches:
-            for terms, weights in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                t, v = np.array(terms), np.array(weights)
-                total[t] += np.outer(v, v @ q[t])
+            lengths = batch.column(0).value_lengths().to_numpy()
+            terms, weights = (batch.column(i).flatten().to_numpy() for i in range(2))
+            ends = np.append(0, np.cumsum(lengths))
+            for at in range(0, len(lengths), DENSE):
+                held = lengths[at : at + DENSE]
+                here = slice(ends[at], ends[at + len(held)])
+                those, column = np.unique(terms[here], return_inverse=True)
+                matrix = np.zeros((len(held), len(those)))
+                matrix[np.repeat(np.arange(len(held)), held), column] = weights[here]
+                total[those] += matrix.T @ (matrix @ q[those])
         parts = [total[at : at + TERM_ROWS].tobytes() for at in range(0, len(total), TERM_ROWS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())], ["part", "total"])
 
@@ -183,12 +221,12 @@ def _sum_part(table: pa.Table) -> pa.Table:
 def singular_vectors(passages: DataFrame, terms: int, rank: int = RANK) -> np.ndarray:
     """Leading right singular vectors (terms x rank) of the passages' matrix (``terms``, ``weights``).
 
-    The products of ``FIT_TASKS`` tasks are summed by Spark, ``TERM_ROWS`` terms at a time, so the
+    The products of ``FIT_TASKS`` tasks at most are summed by Spark, ``TERM_ROWS`` terms at a time, so the
     driver gets one matrix of terms x (rank + OVER) a round, in rows of ``TERM_ROWS``.
     """
     width = min(terms, rank + OVER)
     q = np.linalg.qr(np.random.default_rng(SEED).standard_normal((terms, width)))[0]
-    dealt = cut(passages.repartition(FIT_TASKS))
+    dealt = cut(passages).coalesce(FIT_TASKS)
     for i in range(ROUNDS):
         parts = dealt.mapInArrow(_apply(q), "part bigint, total binary").groupBy("part")
         product = np.zeros_like(q)
@@ -397,12 +435,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         vocabulary = {w: i for i, w in enumerate(sorted({w for _, t in items for w in words_of(t)}))}
         if not vocabulary:
             continue
-        df, total = frequencies(docs, vocabulary)
+        counts = cut(counted(docs, vocabulary))
+        df, total = frequencies(counts, len(vocabulary))
         weights = weighted_terms(items, vocabulary, df, total)
-        share = max(1, total // FIT_DOCUMENTS)
-        sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
-        texts = sample.union(docs.sparkSession.createDataFrame([(t,) for _, t in items], "text string"))
-        passages = texts.mapInArrow(_passages(weights, FIT_WINDOW), "terms array<bigint>, weights array<double>")
+        known = docs.sparkSession.createDataFrame([(t,) for _, t in items], "text string")
+        passages = weighted_passages(counts.union(counted(known, vocabulary)), vocabulary, weights)
         space = singular_vectors(passages, len(weights)).astype(np.float32)
         found = rows.mapInArrow(_search(lambda i=items, w=weights, s=space: Items(i, w, s)), FOUND)
         result = result.union(found)

@@ -633,6 +633,30 @@ def test_singular_vectors_in_parts(spark):
     assert np.allclose(dense @ space @ space.T, dense, atol=1e-6)
 
 
+def test_space_is_fitted_on_all_documents(spark, monkeypatch):
+    """Every passage of every document and item is a row of the matrix, however many documents there are."""
+    rng = random.Random(41)
+    item, other = [f"w{i}" for i in range(40)], [f"x{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(item if rng.random() < 0.02 else other) for _ in range(rng.choice((0, 5, 64, 150)))) for _ in range(9000)]
+    weights = {}
+    weighted = decontamination.weighted_terms
+    monkeypatch.setattr(decontamination, "weighted_terms", lambda *a: weights.update(weighted(*a)) or weights)
+    fitted, vectors = [], decontamination.singular_vectors
+    monkeypatch.setattr(decontamination, "singular_vectors", lambda p, *a: fitted.extend(map(tuple, p.collect())) or vectors(p, *a))
+    docs = frame(spark, [(i, t, None) for i, t in enumerate(texts)])
+    decontamination.find_passages(docs, items(spark, [(1, " ".join(item))]))
+    rows = Counter()
+    seen = Counter(w for t in texts for w in set(t.split()))
+    assert all(np.isclose(v, np.log(9002 / (1 + seen[w.decode()]))) for w, (_, v) in weights.items())
+    for words in (t.split() for t in [*texts, " ".join(item)]):
+        for at in range(0, len(words), decontamination.FIT_WINDOW):
+            held = Counter(weights[w.encode()] for w in words[at : at + decontamination.FIT_WINDOW] if w.encode() in weights)
+            norm = sum((n * v) ** 2 for (_, v), n in held.items()) ** 0.5
+            rows[tuple(sorted((t, round(n * v / norm, 9)) for (t, v), n in held.items()))] += bool(held)
+    assert len(fitted) > 5000
+    assert Counter(tuple(sorted((t, round(v, 9)) for t, v in zip(*r))) for r in fitted) == +rows
+
+
 # all of them
 
 
