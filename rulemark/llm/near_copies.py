@@ -12,12 +12,13 @@ of segments. Two texts share a key if few of their errors fall in one such pair.
 with a similarity of 0.9 nearly all share one of the ``KEYS`` keys, of those with 0.8 some two thirds.
 A key tells 2**24 classes apart, so a text meets ``KEYS`` * n / 2**24 unrelated ones of n by chance.
 
-Of a key that at most ``PAIR_LIMIT`` fingerprints have, all pairs are compared. In a larger one, all are
-compared with its least fingerprint; those linked to it leave the key, and the others go on among
-themselves, round by round. A group of copies is gone after a round, however large. What goes on are texts that share a
-key without being alike, such as those with a long passage in common; the limit grows ``GROWTH`` times a round, so that
-these end after few rounds, at the cost of comparing them in pairs. No pair is left out but those of two that
-are linked to different centres of this key.
+Of each key all fingerprints are compared with the least. What is linked so far makes components, and two members of
+one component need no further comparison: a key whose members are all of one is done, so a group of copies is gone after
+a round, however large. In the others, the strays (members not of the component that most have) are compared with all
+members of other components, if they are ``STRAYS`` at most. Of more, only the least stray is compared, and the rest goes on
+with the components then known and a limit ``GROWTH`` times as large. These are mostly texts that share a key
+without being alike, such as those with a long passage in common; among m of them the comparisons grow with the square of m,
+but only links are rows. No link is lost: a pair that shares a key is compared unless it is in one component already.
 
 Texts are read once; only ids, fingerprints and keys are shuffled. Texts that agree in the first 64 bits
 are one. Words are those of ``simhash``; a text of up to five words is one shingle, null and empty texts have
@@ -48,8 +49,8 @@ LONGS = -(-BITS // 64)
 #: Differing bits of a link; and of the first 64, by which unrelated pairs are told at once (3.6 standard deviations).
 SHARE = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
 RADIUS, FIRST_RADIUS = int(SHARE * BITS), math.ceil(SHARE * 64 + 3.6 * math.sqrt(64 * SHARE * (1 - SHARE)))
-#: Fingerprints of one key that are all compared, and by how much more in each round.
-PAIR_LIMIT, GROWTH = 16, 4
+#: Strays of one key that are all compared with its other members, and by how much more in each round.
+STRAYS, GROWTH = 64, 4
 #: Shingles counted at once; sums of up to 255 fit a byte.
 BLOCK = 255
 
@@ -143,36 +144,52 @@ def _verified(pairs: DataFrame, wide: DataFrame) -> DataFrame:
     return both.filter(_differing("_u_bits", "_v_bits") <= RADIUS).select("u", "v")
 
 
-def _with_sizes(members: DataFrame) -> DataFrame:
-    """Members (``key``, ``fp``) of keys that several have, with their number ``n``."""
-    sizes = members.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).filter("n > 1")
-    return cut(members.join(sizes, members["key"] == sizes["_key"]).select("key", "fp", "n"))
+def _several(members: DataFrame) -> DataFrame:
+    """Members (``key``, ``fp``) of keys that several have, with the ``least`` of their fingerprints."""
+    shared = members.groupBy(F.col("key").alias("_key")).agg(F.min("fp").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    return members.join(shared, members["key"] == shared["_key"]).select("key", "fp", "least")
 
 
-def _pairs(members: DataFrame, limit: int) -> DataFrame:
-    """Pairs of members (``key``, ``fp``, ``n``) of keys that few have."""
-    few = members.filter(F.col("n") <= limit)
-    left = few.select("key", F.col("fp").alias("u"))
-    right = few.select(F.col("key").alias("_key"), F.col("fp").alias("v"))
-    meet = (left["key"] == right["_key"]) & (F.col("u") > F.col("v")) & _alike("u", "v")
+def _divided(members: DataFrame, found: DataFrame, wide: DataFrame) -> DataFrame:
+    """Members (``key``, ``fp``) of keys that several components of the links found meet in, with their ``bits``.
+
+    A member is ``stray`` if its ``component`` is not the one most members of the key have; ``strays`` is their number.
+    """
+    nodes = components(found).select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    named = members.join(nodes, members["fp"] == nodes["_node"], "left")
+    named = cut(named.select("key", "fp", F.coalesce("_component", "fp").alias("component")))
+    sizes = named.groupBy(F.col("key").alias("_key"), "component").agg(F.count("*").alias("n"))
+    most = F.max_by("component", F.struct("n", "component"))
+    keys = sizes.groupBy("_key").agg(most.alias("most"), (F.sum("n") - F.max("n")).alias("strays")).filter("strays > 0")
+    here = named.join(keys, named["key"] == keys["_key"]).select("key", "fp", "component", "strays", (F.col("component") != F.col("most")).alias("stray"))
+    bits = wide.select(F.col("fp").alias("_fp"), "bits")
+    return cut(here.join(bits, here["fp"] == bits["_fp"]).drop("_fp"))
+
+
+def _linked(some: DataFrame, members: DataFrame) -> DataFrame:
+    """Links between some members and all of their key that are of another component."""
+    left = some.select("key", F.col("fp").alias("u"), F.col("component").alias("_u"), F.col("bits").alias("_u_bits"))
+    right = members.select(F.col("key").alias("_key"), F.col("fp").alias("v"), F.col("component").alias("_v"), F.col("bits").alias("_v_bits"))
+    meet = (left["key"] == right["_key"]) & (F.col("_u") != F.col("_v")) & (_differing("_u_bits", "_v_bits") <= RADIUS)
     return left.join(right, meet).select("u", "v")
 
 
 def links(wide: DataFrame) -> DataFrame:
-    """Edges ``u``, ``v`` between fingerprints (``fp``, ``bits``, each once), with the components of all links found."""
-    members = _with_sizes(wide.select("fp", "bits").mapInArrow(_keys, "key bigint, fp bigint"))
-    limit = PAIR_LIMIT
-    found = _verified(_pairs(members, limit), wide)
-    while not (crowded := members.filter(F.col("n") > limit)).isEmpty():
-        least = crowded.groupBy(F.col("key").alias("_key")).agg(F.min("fp").alias("v"))
-        met = crowded.join(least, crowded["key"] == least["_key"]).filter("fp != v").select("key", F.col("fp").alias("u"), "v")
-        stars = cut(_verified(met.filter(_alike("u", "v")).select("u", "v"), wide))
-        linked = stars.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
-        left = met.join(linked, (met["u"] == linked["_u"]) & (met["v"] == linked["_v"]), "left_anti")
-        members = _with_sizes(left.select("key", F.col("u").alias("fp")))
-        limit *= GROWTH
-        found = found.union(stars).union(_verified(_pairs(members, limit), wide))
-    return found
+    """Edges ``u``, ``v`` between fingerprints (``fp``, ``bits``, each once) with the components of all links."""
+    members = cut(_several(wide.select("fp", "bits").mapInArrow(_keys, "key bigint, fp bigint"))).filter("fp != least")
+    met = members.select(F.col("fp").alias("u"), F.col("least").alias("v"))
+    found = cut(_verified(met.filter(_alike("u", "v")), wide))
+    members, limit = members.select("key", "fp"), STRAYS
+    while True:
+        divided = _divided(members, found, wide)
+        few, crowded = divided.filter(F.col("strays") <= limit), divided.filter(F.col("strays") > limit)
+        found = found.union(_linked(few.filter("stray"), few))
+        if crowded.isEmpty():
+            return found
+        least = crowded.filter("stray").groupBy(F.col("key").alias("_key")).agg(F.min("fp").alias("least"))
+        crowded = cut(crowded.join(least, crowded["key"] == least["_key"]).drop("_key"))
+        found = cut(found.union(_linked(crowded.filter("fp = least"), crowded)))
+        members, limit = crowded.filter("fp != least").select("key", "fp"), limit * GROWTH
 
 
 def near_copy_groups(docs: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from corpus_helpers import frame
 
 from rulemark.llm import near_copies
+from rulemark.llm.components import components
 
 
 def text(rng, n):
@@ -70,6 +72,44 @@ def test_large_group_and_one_of_each(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in found if found[i] == i}
 
 
+@pytest.mark.parametrize("strays", [1, near_copies.STRAYS])
+def test_cloud_around_the_radius(spark, monkeypatch, strays):
+    """Near copies of which many are not alike each other: all links of pairs with a key count, few pairs are made."""
+    rng = np.random.default_rng(15)
+    base = rng.integers(0, 2, near_copies.LONGS * 64)
+    rates = [0.02] * 60 + [0.07] * 180 + [0.15] * 80 + [0.16] * 80
+    bits = np.array([base ^ (rng.random(len(base)) < r) for r in rates], np.uint8)
+    bits[:, near_copies.BITS :] = 0
+    words = np.packbits(bits, axis=1).view(np.uint64)
+    words = words[np.unique(words[:, 0], return_index=True)[1]]
+    keys = near_copies.wide_keys(words)
+    parent = list(range(len(words)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(words)):
+        for j in range(i):
+            if np.bitwise_count(words[i] ^ words[j]).sum() <= near_copies.RADIUS and (keys[i] == keys[j]).any():
+                parent[root(i)] = root(j)
+    groups = {}
+    for i, w in enumerate(words.view(np.int64)):
+        groups.setdefault(root(i), []).append(int(w[0]))
+    assert 50 < len(groups) < 200
+
+    made, verified = [], near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, wide: made.append(pairs.distinct().count()) or verified(pairs, wide))
+    monkeypatch.setattr(near_copies, "STRAYS", strays)
+    rows = [(int(w[0]), w.tolist()) for w in words.view(np.int64)]
+    found = components(near_copies.links(spark.createDataFrame(rows, "fp bigint, bits array<bigint>"))).collect()
+    names = {r["node"]: r["component"] for r in found}
+    assert all({names.get(fp, fp) for fp in group} == {min(group)} for group in groups.values())
+    values, counts = np.unique(keys, return_counts=True)
+    assert sum(made) < min(sum(counts[counts > 1]), sum(counts * (counts - 1) // 2) / 10)
+
+
 def test_nulls_empties_ties_and_repeats(spark, docs, empty, nothing):
     assert near_copies.keep_one_of_each(empty).count() == 0
     assert {r["component_id"] for r in near_copies.near_copy_groups(nothing).collect()} == {1}
