@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -363,6 +364,25 @@ def test_special_strings_are_read_as_by_the_plain_call():
     assert np.frombuffer(encode("a <|endoftext|> b"), "<u4").tolist() == [320, 49407, 321]
 
 
+def test_parts_of_simple_texts_are_those_of_the_general_pattern():
+    """Every character of simple texts beside every kind of neighbour; listed classes take under two thirds of the time."""
+    general = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+    simple = [c for c in map(chr, range(0x250)) if packing.SIMPLE.fullmatch(c)]
+    assert len(simple) > 350
+    for c in simple:
+        for before in ("", "a", "ß", "7", "'", ",", "_", " ", "don'"):
+            text = f"{before}{c}s'll {c}{c}'{c}.{c}9{c}".lower()
+            assert packing.PARTS.findall(text) == general.findall(text), text
+    text = prose(random.Random(6), 200_000)
+
+    def seconds(pattern):
+        before = time.process_time()
+        pattern.findall(text)
+        return time.process_time() - before
+
+    assert min(seconds(packing.PARTS) for _ in range(5)) < min(seconds(general) for _ in range(5)) * 2 / 3
+
+
 def test_packing(docs, texts):
     found = rows(packing.pack(docs))
     check_packing(found, texts)
