@@ -12,9 +12,11 @@ of segments. Two texts share a key if few of their errors fall in one such pair.
 with a similarity of 0.9 nearly all share one of the ``KEYS`` keys, of those with 0.8 some two thirds.
 A key tells 2**24 classes apart, so a text meets ``KEYS`` * n / 2**24 unrelated ones of n by chance.
 
-Of each key all fingerprints are compared with the least. What is linked so far makes components, and two members of
-one component need no further comparison: a key whose members are all of one is done, so a group of copies is gone after
-a round, however large. In the others, the strays (members not of the component that most have) are compared with all
+Links so far make components, and two members of one component need no further comparison. The ``FIRST_KEYS`` find most links:
+in each of these all fingerprints are compared with the least, then members of different components. With the components then
+known, only members of keys that several components meet in are joined at all: a key whose members are all of one is left out when
+keys are counted, so a group of copies costs a row for each member and first key. In a divided key the
+strays (members not of its home, which is one of its components, in large keys that of most members) are compared with all
 members of other components, if they are ``STRAYS`` at most. Of more, only the least stray is compared, and the rest goes on
 with the components then known and a limit ``GROWTH`` times as large. These are mostly texts that share a key
 without being alike, such as those with a long passage in common; among m of them the comparisons grow with the square of m,
@@ -51,6 +53,9 @@ SHARE = math.acos(2 * SIMILAR / (1 + SIMILAR)) / math.pi
 RADIUS, FIRST_RADIUS = int(SHARE * BITS), math.ceil(SHARE * 64 + 3.6 * math.sqrt(64 * SHARE * (1 - SHARE)))
 #: Strays of one key that are all compared with its other members, and by how much more in each round.
 STRAYS, GROWTH = 64, 4
+#: Numbers of the keys whose links make the first components, and of the others.
+FIRST_KEYS = np.arange(0, KEYS, 7)
+OTHER_KEYS = np.setdiff1d(np.arange(KEYS), FIRST_KEYS)
 #: Shingles counted at once; sums of up to 255 fit a byte.
 BLOCK = 255
 
@@ -117,11 +122,16 @@ def wide_keys(words: np.ndarray) -> np.ndarray:
     return np.concatenate(pairs, axis=1)
 
 
-def _keys(batches):
-    for batch in batches:
-        words = batch.column(1).flatten().to_numpy().reshape(-1, LONGS)
-        fps = np.repeat(batch.column(0).to_numpy(), KEYS)
-        yield pa.RecordBatch.from_arrays([pa.array(wide_keys(words).ravel()), pa.array(fps)], ["key", "fp"])
+def _keyed(named: DataFrame, numbers: np.ndarray) -> DataFrame:
+    """Members (``key``, ``fp``, ``component``) of these keys, made from ``fp``, ``bits`` and ``component``."""
+
+    def keys(batches):
+        for batch in batches:
+            words = batch.column(1).flatten().to_numpy().reshape(-1, LONGS)
+            fps, names = (np.repeat(batch.column(i).to_numpy(), len(numbers)) for i in (0, 2))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (wide_keys(words)[:, numbers].ravel(), fps, names)], ["key", "fp", "component"])
+
+    return named.select("fp", "bits", "component").mapInArrow(keys, "key bigint, fp bigint, component bigint")
 
 
 def _differing(left: str, right: str) -> Column:
@@ -144,26 +154,26 @@ def _verified(pairs: DataFrame, wide: DataFrame) -> DataFrame:
     return both.filter(_differing("_u_bits", "_v_bits") <= RADIUS).select("u", "v")
 
 
-def _several(members: DataFrame) -> DataFrame:
-    """Members (``key``, ``fp``) of keys that several have, with the ``least`` of their fingerprints."""
-    shared = members.groupBy(F.col("key").alias("_key")).agg(F.min("fp").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    return members.join(shared, members["key"] == shared["_key"]).select("key", "fp", "least")
+def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with a column ``fp``, and the ``component`` of each by the links found."""
+    nodes = components(found).select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+    named = rows.join(nodes, rows["fp"] == nodes["_node"], "left")
+    return named.select(*rows.columns, F.coalesce("_component", "fp").alias("component"))
 
 
-def _divided(members: DataFrame, found: DataFrame, wide: DataFrame) -> DataFrame:
-    """Members (``key``, ``fp``) of keys that several components of the links found meet in, with their ``bits``.
+def _divided(members: DataFrame) -> DataFrame:
+    """Members of keys that several components meet in, with ``home``, the least of these, and their number ``n``."""
+    keys = members.groupBy(F.col("key").alias("_key"))
+    keys = keys.agg(F.min("component").alias("home"), F.max("component").alias("last"), F.count("*").alias("n")).filter("home < last")
+    return members.join(keys, members["key"] == keys["_key"]).select("key", "fp", "component", "home", "n")
 
-    A member is ``stray`` if its ``component`` is not the one most members of the key have; ``strays`` is their number.
-    """
-    nodes = components(found).select(F.col("node").alias("_node"), F.col("component").alias("_component"))
-    named = members.join(nodes, members["fp"] == nodes["_node"], "left")
-    named = cut(named.select("key", "fp", F.coalesce("_component", "fp").alias("component")))
-    sizes = named.groupBy(F.col("key").alias("_key"), "component").agg(F.count("*").alias("n"))
+
+def _settled(members: DataFrame) -> DataFrame:
+    """Members of divided keys, with the component most members of the key have as ``home``, and the number of ``strays``."""
+    sizes = members.groupBy(F.col("key").alias("_key"), "component").agg(F.count("*").alias("n"))
     most = F.max_by("component", F.struct("n", "component"))
-    keys = sizes.groupBy("_key").agg(most.alias("most"), (F.sum("n") - F.max("n")).alias("strays")).filter("strays > 0")
-    here = named.join(keys, named["key"] == keys["_key"]).select("key", "fp", "component", "strays", (F.col("component") != F.col("most")).alias("stray"))
-    bits = wide.select(F.col("fp").alias("_fp"), "bits")
-    return cut(here.join(bits, here["fp"] == bits["_fp"]).drop("_fp"))
+    keys = sizes.groupBy("_key").agg(most.alias("home"), (F.sum("n") - F.max("n")).alias("strays")).filter("strays > 0")
+    return members.join(keys, members["key"] == keys["_key"]).select("key", "fp", "bits", "component", "home", "strays")
 
 
 def _linked(some: DataFrame, members: DataFrame) -> DataFrame:
@@ -174,22 +184,34 @@ def _linked(some: DataFrame, members: DataFrame) -> DataFrame:
     return left.join(right, meet).select("u", "v")
 
 
-def links(wide: DataFrame) -> DataFrame:
-    """Edges ``u``, ``v`` between fingerprints (``fp``, ``bits``, each once) with the components of all links."""
-    members = cut(_several(wide.select("fp", "bits").mapInArrow(_keys, "key bigint, fp bigint"))).filter("fp != least")
-    met = members.select(F.col("fp").alias("u"), F.col("least").alias("v"))
-    found = cut(_verified(met.filter(_alike("u", "v")), wide))
-    members, limit = members.select("key", "fp"), STRAYS
-    while True:
-        divided = _divided(members, found, wide)
-        few, crowded = divided.filter(F.col("strays") <= limit), divided.filter(F.col("strays") > limit)
-        found = found.union(_linked(few.filter("stray"), few))
+def _across(divided: DataFrame, found: DataFrame, wide: DataFrame) -> DataFrame:
+    """The links found, and those between members of divided keys that are of different components."""
+    bits, limit = wide.select(F.col("fp").alias("_fp"), "bits"), STRAYS
+    members = cut(divided.join(bits, divided["fp"] == bits["_fp"]).drop("_fp"))
+    small, members = members.filter(F.col("n") <= limit), members.filter(F.col("n") > limit)
+    found = cut(found.union(_linked(small.filter("component != home"), small)))
+    members = members.select("key", "fp", "bits", "component")
+    while not members.isEmpty():
+        settled = cut(_settled(members))
+        few, crowded = settled.filter(F.col("strays") <= limit), settled.filter(F.col("strays") > limit)
+        found = cut(found.union(_linked(few.filter("component != home"), few)))
         if crowded.isEmpty():
-            return found
-        least = crowded.filter("stray").groupBy(F.col("key").alias("_key")).agg(F.min("fp").alias("least"))
+            break
+        least = crowded.filter("component != home").groupBy(F.col("key").alias("_key")).agg(F.min("fp").alias("least"))
         crowded = cut(crowded.join(least, crowded["key"] == least["_key"]).drop("_key"))
         found = cut(found.union(_linked(crowded.filter("fp = least"), crowded)))
-        members, limit = crowded.filter("fp != least").select("key", "fp"), limit * GROWTH
+        members = cut(_named(crowded.filter("fp != least").select("key", "fp", "bits"), found))
+        limit *= GROWTH
+    return found
+
+
+def links(wide: DataFrame) -> DataFrame:
+    """Edges ``u``, ``v`` between fingerprints (``fp``, ``bits``, each once) with the components of all links."""
+    first = cut(_divided(_keyed(wide.select("fp", "bits", F.col("fp").alias("component")), FIRST_KEYS)))
+    met = first.filter("fp != home").select(F.col("fp").alias("u"), F.col("home").alias("v"))
+    found = cut(_verified(met.filter(_alike("u", "v")), wide))
+    found = _across(_divided(cut(_named(first.select("key", "fp"), found))), found, wide)
+    return _across(_divided(_keyed(cut(_named(wide.select("fp", "bits"), found)), OTHER_KEYS)), found, wide)
 
 
 def near_copy_groups(docs: DataFrame) -> DataFrame:

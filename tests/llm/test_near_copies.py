@@ -110,6 +110,35 @@ def test_cloud_around_the_radius(spark, monkeypatch, strays):
     assert sum(made) < min(sum(counts[counts > 1]), sum(counts * (counts - 1) // 2) / 10)
 
 
+def test_rows_of_a_group_that_shares_all_keys(spark, monkeypatch):
+    """Near copies meet by few of the keys they share, and other texts by all: rows that keys are joined to."""
+    rng = np.random.default_rng(16)
+    bits = rng.integers(0, 2, (1, near_copies.LONGS * 64)) ^ (rng.random((300, near_copies.LONGS * 64)) < 0.03)
+    pair = rng.integers(0, 2, (1, near_copies.LONGS * 64)) ^ (rng.random((2, near_copies.LONGS * 64)) < 0.05)
+    bits = np.concatenate([bits, pair]).astype(np.uint8)
+    bits[:, near_copies.BITS :] = 0
+    words = np.packbits(bits, axis=1).view(np.int64)
+    keys = near_copies.wide_keys(words)
+    values, counts = np.unique(keys, return_counts=True)
+    assert sum(counts[counts > 1]) > 0.8 * near_copies.KEYS * 300 and any(keys[300] == keys[301])
+
+    made, cut = [], near_copies.cut
+
+    def counted(df):
+        out = cut(df)
+        if "key" in out.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "cut", counted)
+    rows = [(int(w[0]), w.tolist()) for w in words]
+    found = components(near_copies.links(spark.createDataFrame(rows, "fp bigint, bits array<bigint>"))).collect()
+    names = {r["node"]: r["component"] for r in found}
+    least = [min(fp for fp, _ in group) for group in (rows[:300], rows[300:])]
+    assert [names[fp] for fp, _ in rows] == [least[0]] * 300 + [least[1]] * 2
+    assert max(made) <= near_copies.KEYS * 300 / 4 and sum(made) <= near_copies.KEYS * 300 / 2
+
+
 def test_nulls_empties_ties_and_repeats(spark, docs, empty, nothing):
     assert near_copies.keep_one_of_each(empty).count() == 0
     assert {r["component_id"] for r in near_copies.near_copy_groups(nothing).collect()} == {1}
