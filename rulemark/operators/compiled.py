@@ -27,9 +27,10 @@ RESERVED = {"id", "is_deleted"}
 class CompiledRules:
     """A dictionary ready to be matched."""
 
-    #: rule_id, action, match, search, term, labels STRUCT
+    #: rule_id, test, action, match, search, term, labels STRUCT; rules of the same match, search and
+    #: term are one test, which has the number of the first of them
     rules: DataFrame
-    #: one row per clause and block key
+    #: one row per clause and block key of each test
     keyed: DataFrame
     #: rule_id, reason of rules left out
     rejected: DataFrame
@@ -46,6 +47,8 @@ class CompiledRules:
     most_clauses: int
     broadcastable: bool
     options: LabelOptions
+    #: have several rules the same test?
+    shared: bool = False
     #: folders that hold the tables of a dictionary too large to be kept locally
     stored: tuple[str, ...] = ()
 
@@ -124,7 +127,11 @@ def compile_rules(
         stored.append(path)
         return copy
 
-    table = keep(r.rule_table(raw, order_by, at, label_columns, kept, count=seen["n"]))
+    test = F.min("rule_id").over(Window.partitionBy("match", "search", "term"))
+    numbered = r.rule_table(raw, order_by, at, label_columns, kept, count=seen["n"])
+    table = keep(numbered.select("rule_id", test.alias("test"), *numbered.columns[1:]))
+    first = F.col("rule_id") == F.col("test")
+    n_tests = table.filter(first).count()
 
     # rules may name label columns too; those are empty when rules are matched
     named = [*columns, *label_columns]
@@ -136,17 +143,18 @@ def compile_rules(
         bad = like.filter(F.col("search").try_cast("bigint").isNull())
         rejected.append(bad.select("rule_id", F.lit("search index is not a number").alias("reason")))
         searched.append(like.select("column_name"))
-        parts.append(keys.like_clauses(like))
+        parts.append(keys.like_clauses(like.filter(first)))
     if seen["text"]:
         clauses = keep(r.text_clauses(text, named, options.fts_separator))
         bad = clauses.filter(F.col("reason").isNotNull())
         rejected.append(bad.select("rule_id", "reason").distinct())
         searched.append(clauses.select("column_name"))
-        parts.append(keys.token_clauses(clauses))
+        tested = clauses.join(table.filter(first).select("rule_id"), "rule_id", "left_semi") if n_tests < seen["n"] else clauses
+        parts.append(keys.token_clauses(tested))
     searched, rejected, parts = (reduce(DataFrame.unionByName, x) for x in (searched, rejected, parts))
     parts = keep(parts.filter(in_table))
     sketch = None if data is None else _sketch(data, parts, options)
-    keyed = keep(keys.choose_keys(parts, seen["n"], sketch))
+    keyed = keep(keys.choose_keys(parts, n_tests, sketch))
 
     found = {row[0] for row in searched.filter(in_table).distinct().collect()}
     key_classes, size = _measure(keyed, options.probe_limit)
@@ -163,6 +171,7 @@ def compile_rules(
         single_clause=size["clauses"] <= 1 and not size["repeated"],
         broadcastable=max(size["bytes"], seen["bytes"]) <= options.broadcast_bytes,
         options=options,
+        shared=n_tests < seen["n"],
         stored=tuple(stored),
     )
 

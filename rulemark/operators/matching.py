@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from rulemark.functions import text
 from rulemark.operators import keys
 from rulemark.operators.compiled import CompiledRules
-from rulemark.operators.skew import join_many, join_small
+from rulemark.operators.skew import join_lists, join_many, join_small
 
 TEXT_CLASSES = ("t", "x")
+#: Characters up to which the texts of an id go with each of their keys. Such a key takes no more than
+#: three times the place, and its pairs are checked where they meet.
+SHORT = 64
 
 
 def _is_text(klass: str) -> bool:
@@ -143,16 +146,48 @@ def match_clauses(values: DataFrame, rules: CompiledRules) -> DataFrame:
         pairs = probes.join(F.broadcast(keyed), ["column_name", "block_key"])
         return pairs.filter(pair_matches(rules)).select(*result)
 
-    # A dictionary too large to broadcast: join ids by key, without the text, so
-    # that a key held by many values can be split; then fetch the text.
+    # A dictionary too large to broadcast. Pairs outnumber values and rules by far, so those of
+    # short texts are checked in the join that makes them and are never shuffled.
     split = rules.options.hot_id_rows
-    probes = values.select("id", "column_name", F.explode(_keys_of(rules)).alias("block_key"))
+    texts = F.collect_list(F.struct("folded", "padded")).alias("texts")
+    together = values.filter(F.col("id").isNotNull()).groupBy("id", "column_name").agg(texts)
+    sizes = F.transform("texts", lambda t: sum(F.coalesce(F.length(t[c]), F.lit(0)) for c in ("folded", "padded")))
+    size = F.aggregate(sizes, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    apart = lambda rows: rows.select("id", "column_name", F.inline("texts"))
+
+    short = together.filter(size <= SHORT)
+    # a key of any text of an id is checked with all its texts
+    held = short.select("id", "column_name", "texts", F.explode("texts").alias("t")).select("*", "t.*")
+    probes = held.select("id", "column_name", "texts", F.explode(_keys_of(rules)).alias("block_key"))
+    pairs = join_many(probes, keyed, ["column_name", "block_key"], split)
+    found = pairs.select("*", F.inline("texts")).filter(pair_matches(rules)).select(*result)
+
+    # Of long ones ids are joined by key, without the text, so that a key held by many
+    # values can be split; then the text is fetched.
+    long = apart(together.filter(size > SHORT))
+    probes = long.select("id", "column_name", F.explode(_keys_of(rules)).alias("block_key"))
     pairs = join_many(probes, keyed, ["column_name", "block_key"], split).drop("block_key")
-    return join_many(pairs, values, ["id", "column_name"], split).filter(pair_matches(rules)).select(*result)
+    fetched = join_many(pairs, long, ["id", "column_name"], split).filter(pair_matches(rules)).select(*result)
+    return found.unionByName(fetched)
 
 
 def match_rules(snapshot: DataFrame, id_column: str, rules: CompiledRules) -> DataFrame:
     """``hits(id, rule_id)``: every rule each row of a snapshot (one row per id) matches."""
+    return all_rules(match_tests(snapshot, id_column, rules), rules)
+
+
+def all_rules(tests: DataFrame, rules: CompiledRules) -> DataFrame:
+    """The hits of all rules from those of tests (``match_tests``)."""
+    if not rules.usable().shared:
+        return tests
+    tests, members = tests.withColumnRenamed("rule_id", "test"), rules.rules.select("test", "rule_id")
+    if rules.broadcastable:
+        return tests.join(F.broadcast(members), "test").select("id", "rule_id")
+    return join_lists(tests, members, ["test"]).select("id", "rule_id")
+
+
+def match_tests(snapshot: DataFrame, id_column: str, rules: CompiledRules) -> DataFrame:
+    """``id, rule_id`` as ``match_rules``, but only the first of the rules that have the same test."""
     if rules.usable().options.dedupe_values:
         clauses = _match_distinct(snapshot, id_column, rules)
     else:

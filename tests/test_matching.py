@@ -321,3 +321,62 @@ def test_one_contract_at_every_size(spark, monkeypatch, n):
         assert [tuple(r) for r in match_rules(data, "k", rules).collect()] == [(1, 78)]
     with pytest.raises(RuleError):
         with_payload(match_rules(data, "k", rules), rules)
+
+
+def in_plan(df, metric):
+    """The rows of a result, and what each operator of its plan says of ``metric``; without adaptive execution."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got, told, left = df.collect(), [], [df._jdf.queryExecution().executedPlan()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    while left:
+        node = left.pop()
+        if node.metrics().contains(metric):
+            told.append(node.metrics().apply(metric).value())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    return got, told
+
+
+def shared_rules(n, terms, *actions):
+    """``n`` rules with few terms, so that many rules have the same test."""
+    return [(i, actions[i % len(actions)], "pse"[i % 3], "0", None, terms[i % len(terms)], f"t{i % 11}", f"u{i % 3}") for i in range(1, n + 1)]
+
+
+def test_pairs_of_short_texts_are_not_shuffled(spark):
+    """Values and rules are shuffled, but not the pairs of them, however many rules have one term."""
+    terms = ["item", "Item", "em 1", "7", "zz"]
+    table = {i: [f"item {i}", None, None] for i in range(200)}
+    rules = shared_rules(600, terms, "a")
+    data, compiled = setup(spark, table, rules, broadcast_bytes=0, probe_limit=0, hot_id_rows=None)
+    got, shuffled = in_plan(match_rules(data, "id", compiled), "shuffleRecordsWritten")
+    expected = hits(table, COLUMNS, plain(rules))
+    assert sorted(map(tuple, got)) == sorted(expected) and len(expected) > 30_000
+    assert sum(shuffled) < 10_000
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "dedupe_values": True}], ids=["broadcast", "shuffle", "dedupe"])
+def test_rules_of_one_test_match_the_same(spark, options):
+    """Short and long texts, in one column or two; each pair comes up once."""
+    rng = random.Random(5)
+    words = ["red", "gear", "bolt", "blue", "été", "7"]
+    table = {i: [" ".join(rng.choices(words, k=rng.choice([1, 3, 30]))), rng.choice(["x", "red " * 20, None]), None] for i in range(80)}
+    rules = [
+        (i, rng.choice("ar"), m, s, None, t, f"t{i % 7}", rng.choice([None, "", "u"]))
+        for i in range(1, 300)
+        for m, s, t in [rng.choice([("p", "0", "gear"), ("p", "0", "RED"), ("s", "1", "red"), ("e", "0", "7"), ("f", "0", "%b_lt%"), ("f", "1", "x"), ("fts", "0|1", "bolt|red"), ("fts", "0", "(red OR 7)"), ("fts", "0", "red gear"), ("fts", "0", "((")])]
+    ]
+    data, compiled = setup(spark, table, rules, **options)
+    assert compiled.shared and compiled.keyed.select("rule_id").distinct().count() < 10
+    got = [tuple(r) for r in match_rules(data, "id", compiled).collect()]
+    assert sorted(got) == sorted(hits(table, COLUMNS, plain(rules))) and len(got) > 2000
+    assert {r["rule_id"] for r in compiled.rejected.collect()} == {r[0] for r in rules if r[5] == "(("}
+
+
+def test_texts_of_a_repeated_id_meet_as_before(spark):
+    """A key of one row of an id is checked with all its rows; an id that is NULL has no hits when rules are shuffled."""
+    raw = spark.createDataFrame([(1, "a", "p", "0", None, "abc", "x"), (2, "a", "p", "0", None, "bcd", "y")], "n int, action string, match string, search string, note string, term string, cat string")
+    data = spark.createDataFrame([(1, "abc"), (1, "abcd"), (1, "q"), (None, "abc"), (2, "bcd" + "x" * 100), (2, "bcd")], "k int, v string")
+    rules = compile_rules(raw, ["v"], ["n"], LabelOptions(broadcast_bytes=0))
+    assert sorted(map(tuple, match_rules(data, "k", rules).collect())) == [(1, 1)] * 4 + [(1, 2)] + [(2, 2)] * 4
