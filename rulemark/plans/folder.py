@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 from rulemark.errors import SettingsError
 from rulemark.functions.names import clean_names
-from rulemark.operators.actions import resolve
 from rulemark.operators.compiled import CompiledRules, compile_rules
-from rulemark.operators.matching import match_rules, with_payload
+from rulemark.operators.matching import match_tests
 from rulemark.operators.skew import hot_of
 from rulemark.operators.snapshot import detect_date_column, latest_per_key
 from rulemark.operators.sync import unmapped_rows
 from rulemark.options import FolderOptions, LabelOptions
-from rulemark.plans.label import carry_back
+from rulemark.plans.label import carry_back, resolved_of
 from rulemark.sources.dictionary import ORDER, get_dictionary
 from rulemark.sources.export import Export, export_csv
 from rulemark.sources.files import FILE, LOAD_ORDER, PART, first_file, read_files, read_folder, read_header
@@ -57,14 +56,11 @@ def resolved_snapshot(
     tiebreak: tuple[str, ...],
 ) -> DataFrame:
     """The snapshot with its deletions (``_is_deleted``), labels and the number of source rows of each id."""
-    options = rules.options
     snapshot = latest_per_key(data, id_column, rules.search_columns, date_column, tiebreak, count_as=ROWS)
     # always true; it keeps the count in both uses of the snapshot below, which are
     # then the same shuffle and made in one scan
     snapshot = snapshot.filter(F.col(ROWS) > 0)
-    hits = with_payload(match_rules(snapshot, id_column, rules), rules)
-    resolved = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions, rules)
-    resolved = resolved.withColumnsRenamed({"id": id_column, "is_deleted": DELETED})
+    resolved = resolved_of(match_tests(snapshot, id_column, rules), rules).withColumnsRenamed({"id": id_column, "is_deleted": DELETED})
     joined = snapshot.join(resolved, id_column, "left")
     return joined.withColumn(DELETED, F.coalesce(DELETED, F.lit(False)))
 

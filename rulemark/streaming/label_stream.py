@@ -11,12 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rulemark.errors import SettingsError
 from rulemark.functions.names import quoted
-from rulemark.operators.actions import resolve
 from rulemark.operators.compiled import CompiledRules
-from rulemark.operators.matching import match_rules, with_payload
+from rulemark.operators.matching import match_tests
 from rulemark.operators.snapshot import latest_per_key
 from rulemark.options import ReadOptions
-from rulemark.plans.label import carry_back
+from rulemark.plans.label import carry_back, resolved_of
 from rulemark.sources.files import QUOTED_EMPTY, csv_options, restore_empty
 from rulemark.streaming.runs import BATCH, Run, RunStore, newest_per_key
 
@@ -113,9 +112,7 @@ class LabelSink:
         latest = latest_per_key(new, key, kept, self.date_column, self.tiebreak)
         latest.withColumn(BATCH, F.lit(number).cast("bigint")).write.mode("overwrite").parquet(store.path(SNAPSHOT, own))
         snapshot = store.read(SNAPSHOT, [own], schema)
-        hits = with_payload(match_rules(snapshot.drop(BATCH), key, rules), rules)
-        options = rules.options
-        found = resolve(hits, rules.label_columns, options.add_separator, options.add_mode, rules.actions, rules)
+        found = resolved_of(match_tests(snapshot.drop(BATCH), key, rules), rules)
         ids = snapshot.select(F.col(quoted(key)).alias("id"), BATCH).join(found, "id", "left")
         ids.write.mode("overwrite").parquet(store.path(LABELS, own))
         store.commit(number, [*before, own], {SNAPSHOT: key, LABELS: "id"}, {SNAPSHOT: schema, LABELS: ids.schema})

@@ -10,6 +10,7 @@ from rulemark.operators.actions import apply_actions, resolve
 from rulemark.operators.compiled import compile_rules
 from rulemark.operators.matching import candidates, match_rules, values_by_column, with_payload
 from rulemark.options import LabelOptions
+from rulemark.plans.label import label_table
 from pyspark.sql import functions as F
 
 COLUMNS = ["a", "b", "c"]
@@ -380,3 +381,22 @@ def test_texts_of_a_repeated_id_meet_as_before(spark):
     data = spark.createDataFrame([(1, "abc"), (1, "abcd"), (1, "q"), (None, "abc"), (2, "bcd" + "x" * 100), (2, "bcd")], "k int, v string")
     rules = compile_rules(raw, ["v"], ["n"], LabelOptions(broadcast_bytes=0))
     assert sorted(map(tuple, match_rules(data, "k", rules).collect())) == [(1, 1)] * 4 + [(1, 2)] + [(2, 2)] * 4
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "hot_id_rows": None, "add_mode": "append"}], ids=["broadcast", "shuffle"])
+def test_rules_of_one_test_are_resolved_together(spark, options):
+    """The labels are those of every hit, but an id has a row per test and not one per hit."""
+    terms = ["item", "Item", "em 1", "7", "3", "zz"]
+    table = {i: [f"item {i}", None, None] for i in range(60)}
+    rules = shared_rules(600, terms, "a", "a", "r", "a", "r", "a", "a")
+    rules += [(601, "d", "e", "0", None, "9", None, None), (602, "a", "e", "0", None, "9", "t", ""), (603, "r", "e", "0", None, "9", None, "v")]
+    rules += [(604, "r", "e", "0", None, "8", None, "w"), (605, "r", "e", "0", None, "8", "z", None), (606, "a", "e", "0", None, "8", "", None)]
+    data, compiled = setup(spark, table, rules, **options)
+    resolved = label_table(data, compiled, "id").resolved
+    got, put_out = in_plan(resolved, "numOutputRows")
+    expected = hits(table, COLUMNS, plain(rules))
+    want = labels(expected, plain(rules), 2, add_mode=compiled.options.add_mode)
+    assert {r["id"]: None if r["is_deleted"] else [r["x"], r["y"]] for r in got} == want
+    one_by_one = resolve(with_payload(match_rules(data, "id", compiled), compiled), ["x", "y"], ", ", compiled.options.add_mode)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, one_by_one.collect()))
+    assert len(expected) > 10_000 and max(put_out) < 3_000
