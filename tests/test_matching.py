@@ -1,5 +1,6 @@
 import os
 import random
+import re
 
 import pytest
 
@@ -400,3 +401,18 @@ def test_rules_of_one_test_are_resolved_together(spark, options):
     one_by_one = resolve(with_payload(match_rules(data, "id", compiled), compiled), ["x", "y"], ", ", compiled.options.add_mode)
     assert sorted(map(tuple, got)) == sorted(map(tuple, one_by_one.collect()))
     assert len(expected) > 10_000 and max(put_out) < 3_000
+
+
+def test_customers_are_joined_with_orders_by_shuffling(spark, tmp_path):
+    """Files of repeated names are small for the rows they hold: their size does not tell what a broadcast takes."""
+    from query_suite import QUERIES
+
+    spark.range(5).selectExpr("id AS c_custkey", "concat('Customer#00000000', id) AS c_name").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(5).selectExpr("id AS s_suppkey", "concat('Supplier#00000000', id) AS s_name", "id AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(12).selectExpr("id AS o_orderkey", "id % 6 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES["label_many_rules"](spark, str(tmp_path))
+    tags = {0: "Supplier#000000000", **{i: f"Supplier#000000000, Supplier#00000000{i}" for i in range(1, 5)}}
+    assert sorted(map(tuple, found.collect())) == [(i, i % 6, tags[i % 6]) for i in range(12) if i % 6 < 5]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"(\w+) \[o_custkey#\d+L\], \[o_custkey#\d+L\], Inner", plan)
+    assert joins and set(joins) == {"SortMergeJoin"}
